@@ -109,9 +109,9 @@ def new_members(staged: DataFrame, existing: DataFrame, key: str, id_col: str |
     fresh = staged.join(existing.select(key), key, "left_anti")
     if id_col is None:
         return fresh
-    base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_base"))
+    base = existing.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
     rn = F.row_number().over(Window.orderBy(order_col or key))
-    return fresh.crossJoin(F.broadcast(base)).withColumn(id_col, (F.col("_base") + rn).cast("int")).drop("_base")
+    return fresh.withColumn(id_col, (base + rn).cast("int"))
 
 
 def key_lookup(df: DataFrame, dim: DataFrame, natural: str, surrogate: str) -> DataFrame:
