@@ -63,7 +63,7 @@ def range_flag(col, lo=TEMP_VALID_MIN, hi=TEMP_VALID_MAX) -> Column:
 
 def to_number(col, dtype: str = "double") -> Column:
     """text/number to a number; unparsable text and NaN become NULL."""
-    x = F.try_cast(c(col).cast("string"), dtype) if dtype else c(col)
+    x = c(col).cast("string").try_cast(dtype) if dtype else c(col)
     if dtype in ("double", "float"):
         x = F.when(~F.isnan(x), x)
     return x

@@ -394,3 +394,8 @@ def q_insert_defaults(spark, sf_dir):
                              "air_status": F.lit(None).cast("string"),
                              "batch_id": F.lit(None).cast("string")})
     return S.insert_defaults(src).select("place", "slot", "weather_status", "air_status", "batch_id")
+
+
+# Query keys defined in the sibling modules register themselves on import.
+from hourlake.plans import queries_quality, queries_profile  # noqa: E402,F401
+from hourlake.plans import oracle_quality  # noqa: E402,F401
