@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourlake.functions import columns as X
+from hourlake.session import cut_lineage
 
 # ---- fixed values: the 25-feature contract (order matters) ----------------
 BASE_FEATURES = ("temperature", "humidity", "pressure", "wind_speed", "hour_sin", "hour_cos",
@@ -159,7 +160,11 @@ def global_row_index(df: DataFrame, order_cols, out: str = "row_idx", partitions
     global position.  ``order_cols`` must be unique.
     """
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id())
+    # Range bounds are sampled from the input; when the input comes out of a
+    # shuffle its row order (and so the sample) can differ between two
+    # evaluations.  The partitioned rows are checkpointed once so that the
+    # partition sizes and the per-partition numbering see the same layout.
+    ranged = cut_lineage(df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id()))
     ranged = ranged.withColumn("_local", F.row_number().over(
         Window.partitionBy("_pid").orderBy(*order_cols)) - 1)
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_size"))
