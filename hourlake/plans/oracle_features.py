@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hourlake.plans.oracle import oracle
+from hourlake.plans.oracle import avg_hu, oracle
 from hourlake.plans.oracle_quality import FORECAST, VOCAB
 
 HIDX = "date_diff('hour', TIMESTAMP '1970-01-01', {ts})"
@@ -86,3 +86,5 @@ oracle("alert_confusion", PAIRS + """SELECT sum(CASE WHEN actual > 100 AND predi
   CAST((2000000 * sum(CASE WHEN (actual > 100) = (predicted > 100) THEN 1 ELSE 0 END) + count(*)) // (2 * count(*)) AS DOUBLE) / 1000000
   AS alert_accuracy FROM pairs""")
 oracle("pred_vs_actual", PAIRS + "SELECT place, target_ts, actual, predicted FROM pairs")
+oracle("tumbling_hour", f"""SELECT date_trunc('hour', ts) AS window_start, place, count(*) AS n,
+  {avg_hu("CAST(value AS DECIMAL(12,2))", 2, 4)} AS value_mean FROM readings GROUP BY date_trunc('hour', ts), place""")

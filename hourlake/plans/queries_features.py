@@ -176,3 +176,32 @@ def q_score_alerts(spark, sf_dir):
     serving = (FE.serving_features(g.measures, g.forecast(), PLACE_VOCAB)
                .filter(F.floor(F.col("run_slot") / 100) == last_day))
     return ML.score(model, serving, names, "scheduled__score", "2024-02-01 00:00:00")
+
+
+# ---- streaming twins (L1/L2) ---------------------------------------------
+
+@query("tumbling_hour")
+def q_tumbling_hour(spark, sf_dir):
+    """L2 batch twin: hourly event-time windows of raw readings per place."""
+    from hourlake.sources import testdata as TD
+    from hourlake.streaming import incremental as ST
+    r = TD.readings(TD.table(spark, sf_dir, "events"))
+    return ST.hourly_window_batch(r, "ts", "place", "value")
+
+
+@query("tumbling_hour_stream")
+def q_tumbling_hour_stream(spark, sf_dir):
+    """L2 on a stream (rows-only): the events file is read as a file stream
+    with a watermark and de-duplication of repeated readings, drained with
+    availableNow into an in-memory table."""
+    import uuid
+    from hourlake.session import ensure_checkpoint_dir
+    from hourlake.sources import testdata as TD
+    from hourlake.streaming import incremental as ST
+    schema = TD.table(spark, sf_dir, "events").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    agg = ST.hourly_window(TD.readings(stream), "ts", "place", "value", dedup_keys=("event_id", "ts"))
+    name = f"tumbling_hour_{uuid.uuid4().hex[:8]}"
+    ckpt = f"{ensure_checkpoint_dir(spark)}/{name}"
+    return ST.run_to_table(spark, agg, name, ckpt, mode="complete")
