@@ -32,30 +32,36 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys, update_cols, load_t
     """Matched rows take the source's ``update_cols``, the load time as
     modification time and the load batch; unmatched source rows are inserted
     with both audit times set to the load time; target rows the source does
-    not touch pass unchanged.  ``insert_only_cols`` come from the source on
-    insert and are kept from the target on update."""
+    not touch pass unchanged.  Other source columns (and
+    ``insert_only_cols``) come from the source on insert and are kept from
+    the target on update."""
     keys = list(keys)
     load_ts = F.lit(load_ts).cast("timestamp_ntz") if isinstance(load_ts, str) else load_ts
     batch = F.lit(batch_id) if isinstance(batch_id, str) else batch_id
+    audit = {inserted_col, modified_col, batch_col} - {None}
+    t_cols = [c for c in target.columns if c not in keys]
+    # Like MERGE ... WHEN NOT MATCHED THEN INSERT: every other source column
+    # is written on insert and left alone on update.
+    insert_cols = [c for c in t_cols if c not in update_cols and c not in audit
+                   and (c in source.columns or c in insert_only_cols)]
     src = require_unique(source, keys)
-    s_cols = list(update_cols) + list(insert_only_cols)
+    s_cols = list(update_cols) + insert_cols
     s = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in s_cols], F.lit(True).alias("_s"))
-    t_cols = [c for c in target.columns if c not in keys]
     t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in t_cols], F.lit(True).alias("_t"))
     j = t.join(s, keys, "full")
     in_s, in_t = F.col("_s").isNotNull(), F.col("_t").isNotNull()
     out = [F.col(k) for k in keys]
     for c in t_cols:
-        if c in update_cols:
-            out.append(F.when(in_s, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c))
-        elif c in insert_only_cols:
-            out.append(F.when(in_t, F.col(f"_t_{c}")).otherwise(F.col(f"_s_{c}")).alias(c))
-        elif c == inserted_col:
+        if c == inserted_col:
             out.append(F.when(in_t, F.col(f"_t_{c}")).otherwise(load_ts).alias(c))
         elif c == modified_col:
             out.append(F.when(in_s, load_ts).otherwise(F.col(f"_t_{c}")).alias(c))
         elif c == batch_col:
             out.append(F.when(in_s, batch).otherwise(F.col(f"_t_{c}")).alias(c))
+        elif c in update_cols:
+            out.append(F.when(in_s, F.col(f"_s_{c}")).otherwise(F.col(f"_t_{c}")).alias(c))
+        elif c in insert_cols:
+            out.append(F.when(in_t, F.col(f"_t_{c}")).otherwise(F.col(f"_s_{c}")).alias(c))
         else:
             out.append(F.col(f"_t_{c}").alias(c))
     return j.select(*out)
