@@ -147,3 +147,41 @@ def apply_cleaning_rules(df: DataFrame, keys=("place", "slot"), order_cols=("ts"
     present_order = [o for o in order_cols if o in df.columns]
     valid = keep_last(valid, keys, present_order) if present_order else valid.dropDuplicates(list(keys))
     return valid, rejects
+
+
+# ---- contracts and gates (C6, C7, C21) ---------------------------------------
+
+class ContractError(ValueError):
+    pass
+
+
+def missing_columns(df: DataFrame, required) -> list[str]:
+    """Names of required columns absent from the frame (schema only, no job)."""
+    present = set(df.columns)
+    return [c_ for c_ in required if c_ not in present]
+
+
+def require_columns(df: DataFrame, required) -> DataFrame:
+    """Hard contract before a load: fail fast when a column is missing."""
+    miss = missing_columns(df, required)
+    if miss:
+        raise ContractError(f"missing columns: {miss}")
+    return df
+
+
+def contract_rejects(df: DataFrame, required, run_label: str):
+    """Soft contract: (frame or None, reject row frame or None).  A
+    frame missing features is not scored; a reject row names what is
+    missing."""
+    miss = missing_columns(df, required)
+    if not miss:
+        return df, None
+    spark = df.sparkSession
+    rej = spark.createDataFrame([(run_label, "features missing", ",".join(miss))],
+                                "run string, reason string, context string")
+    return None, rej
+
+
+def has_rows(df: DataFrame) -> bool:
+    """Empty-input gate (stops at the first row found)."""
+    return not df.isEmpty()

@@ -190,3 +190,4 @@ q("winsorize", "".join(winsor_cte(c) for c in ("aqi", "pm25", "pm10")) + """
 SELECT a.place, a.slot, least(greatest(a.v, ca.lo), ca.hi) AS aqi_w, least(greatest(b.v, cb.lo), cb.hi) AS pm25_w,
   least(greatest(c.v, cc.lo), cc.hi) AS pm10_w
 FROM f_aqi a JOIN f_pm25 b USING (place, slot) JOIN f_pm10 c USING (place, slot), c_aqi ca, c_pm25 cb, c_pm10 cc""")
+qf("zip_arrays", "SELECT place, fc_ts, wind_direction, cloud_cover, precipitation FROM forecast")

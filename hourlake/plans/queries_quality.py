@@ -232,3 +232,13 @@ def q_json_flatten(spark, sf_dir):
     fa = RAW.flatten_air(adoc, "doc")
     return M.merge.full_outer_merge(fw, fa, ("place", "slot"), ()).select(
         "place", "slot", "country", *X.ALL_METRICS)
+
+
+@query("zip_arrays")
+def q_zip_arrays(spark, sf_dir):
+    """Forecast documents with parallel hourly arrays (one per place and
+    day, as the source delivers them) zipped back to one row per hour."""
+    from hourlake.sources import raw as RAW
+    fc = Gold(spark, sf_dir).forecast()
+    docs = RAW.forecast_documents(fc)
+    return RAW.zip_forecast(docs)

@@ -152,6 +152,22 @@ def zip_forecast(df: DataFrame, doc_col: str = "doc") -> DataFrame:
     return best.select("place", "fc_ts", "v.*")
 
 
+def forecast_documents(rows: DataFrame, place: str = "place", ts: str = "fc_ts") -> DataFrame:
+    """Stand-in forecast documents: the hourly rows of one place and day
+    packed into parallel arrays (at most 24 entries per document), as JSON
+    text parsed back with the explicit schema."""
+    day = F.date_format(ts, "yyyy-MM-dd")
+    packed = rows.groupBy(place, day.alias("_day")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(ts).alias("t"), "wind_direction", "cloud_cover",
+                                             "precipitation"))).alias("h"))
+    hourly = F.struct(F.transform("h", lambda x: F.date_format(x["t"], "yyyy-MM-dd'T'HH:mm")).alias("time"),
+                      F.transform("h", lambda x: x["wind_direction"]).alias("wind_direction_10m"),
+                      F.transform("h", lambda x: x["cloud_cover"]).alias("cloud_cover"),
+                      F.transform("h", lambda x: x["precipitation"]).alias("precipitation"))
+    txt = packed.select(place, F.to_json(F.struct(hourly.alias("hourly"))).alias("payload"))
+    return txt.select(place, F.from_json("payload", FORECAST_SCHEMA).alias("doc"))
+
+
 def read_config(spark: SparkSession, path: str) -> DataFrame:
     """Place configuration (array of objects or an object with a
     ``cities`` array)."""

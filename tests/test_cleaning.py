@@ -100,3 +100,13 @@ def test_keep_last_plan_limits_before_shuffle(spark):
     df = spark.range(100).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     plan = C.keep_last(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_contracts_and_gates(spark):
+    import pytest
+    df = spark.createDataFrame([(1, 2.0)], "a int, b double")
+    with pytest.raises(C.ContractError):
+        C.require_columns(df, ["a", "c"])
+    ok, rej = C.contract_rejects(df, ["a", "z"], "2023010112")
+    assert ok is None and rej.first().context == "z"
+    assert C.has_rows(df) and not C.has_rows(df.limit(0))
