@@ -28,6 +28,11 @@ DEAD_EVENT = "error"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table.  The tables hold zone-less wall-clock times, and
+    hour keys format them through the session zone, so the session is
+    pinned to UTC (a no-op when it already is)."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
