@@ -92,3 +92,22 @@ def scratch_root(spark: SparkSession) -> str:
     if root.startswith("file:"):
         root = root[len("file:"):]
     return os.path.join(root, "hourlake-warehouse")
+
+
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict:
+    """Partition sizing for a given input volume.
+
+    Scan splits and post-shuffle partitions both target ``partition_bytes``
+    (256 MB default: fits comfortably in an executor core's share of memory
+    with room for sort buffers), so 100 TB gives ~400k scan tasks and the
+    shuffle starts at input / partition size (capped), which AQE coalesces
+    toward the advisory size at runtime.
+    """
+    n = max(1, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }

@@ -37,3 +37,10 @@ def test_dimension_join_broadcast_after_aqe(spark):
     assert "isFinalPlan=true" in plan
     assert "BroadcastHashJoin" in plan
     assert "ReusedExchange" in plan
+
+
+def test_scale_conf_sizes_partitions():
+    from hourlake.session import scale_conf
+    c = scale_conf(100 * (1 << 40))
+    assert int(c["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(scale_conf(1 << 30)["spark.sql.shuffle.partitions"]) == 4
