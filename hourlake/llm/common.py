@@ -42,3 +42,51 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if data is None:
         return np.empty(0, np.uint8), np.zeros(len(column) + 1, np.int64)
     return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
+def maybe_in(rows, keys, name: str, bits: int = 1 << 23):
+    """Rows whose 64-bit hash in column ``name`` may occur in that column of
+    ``keys``: none that does is lost, most that don't are dropped before a
+    shuffle.  The broadcast is a bitmap of ``bits`` bits (1 MB as 64-bit
+    words), whatever the number of keys; when full it lets all rows through."""
+    from pyspark.sql import functions as F
+
+    slot = F.pmod(F.col(name), F.lit(bits))
+    word, bit = F.shiftright(slot, 6).cast("int"), F.pmod(F.col(name), F.lit(64)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    words = keys.groupBy(word.alias("_w")).agg(F.bit_or(one).alias("_bits"))
+    joined = rows.withColumn("_w", word).join(F.broadcast(words), "_w")
+    return joined.where(F.col("_bits").bitwiseAND(one) != 0).select(*rows.columns)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit hashes."""
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(33))
+
+
+class Rolling:
+    """Hashes of any slice of a byte array from its running polynomial sums,
+    modulo 2^64."""
+
+    def __init__(self, data: np.ndarray, seed: int):
+        random = np.random.default_rng(seed)
+        table = random.integers(0, 1 << 64, 256, np.uint64)
+        base = int(random.integers(0, 1 << 64, dtype=np.uint64)) | 1
+        with np.errstate(over="ignore"):
+            up = self._powers(base, len(data) + 1)
+            self.down = self._powers(pow(base, -1, 1 << 64), len(data) + 1)
+            self.sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(table[data] * up[:-1], out=self.sums[1:])
+
+    @staticmethod
+    def _powers(base: int, n: int) -> np.ndarray:
+        out = np.full(n, base & ((1 << 64) - 1), np.uint64)
+        out[0] = 1
+        return np.cumprod(out, dtype=np.uint64)
+
+    def slices(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            value = (self.sums[stop] - self.sums[start]) * self.down[start]
+            return mixed(value + (stop - start).astype(np.uint64))

@@ -4,14 +4,20 @@ production parameters, to its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hourlake.llm import bpe, mixing, quality, secrets, sharding, urls
+from hourlake.llm import bpe, mixing, pii, quality, secrets, sharding, substring, topk, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every vector whose id 20 divides."""
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document, encoded and decoded again."""
     return bpe.bpe_report(_table(spark, sf_dir, "documents"))
@@ -45,8 +51,19 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(_table(spark, sf_dir, "documents"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data, and of terms that reveal it, in every document."""
+    return pii.personal_report(_table(spark, sf_dir, "documents"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 400-byte strings that start twice."""
+    return substring.dedup_substrings(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
-    op2_byte_bpe, op3_quality_rules, op4_secret_scans, op6_source_mixing, op7_url_filters, op8_sharding)}
+    op1_topk_search, op2_byte_bpe, op3_quality_rules, op4_secret_scans, op6_source_mixing, op7_url_filters, op8_sharding,
+    op9_personal_data, op10_substring_dedup)}
 
 # Poisson terms cumulated in the same order as the operator's table.
 OP6_SQL = """
@@ -72,4 +89,14 @@ SELECT doc_id, text, lang, source, n_chars, copy::INT AS copy, md5('17s:' || key
 FROM (SELECT *, unnest(range(1, copies::BIGINT + 1)) AS copy FROM copies)
 """
 
-LLM_ORACLE = {"op6_source_mixing": OP6_SQL}
+OP1_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+LLM_ORACLE = {"op1_topk_search": OP1_SQL, "op6_source_mixing": OP6_SQL}
