@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,13 @@ SPACE_RUN = "[\\x20\\x09-\\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def share_package(spark) -> None:
+    """Let Python workers started from now on import this library from the
+    folder it is in, where no installation provides it."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def bounded(batches: Iterator[pa.RecordBatch], text: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``limit`` bytes of ``text``
     at most (a single longer text stays whole): the working memory of a task

@@ -6,10 +6,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm import bpe, mixing, pii, quality, secrets, sharding, substring, topk, urls
+from hourlake.llm import bpe, jaccard, mixing, pii, quality, secrets, sharding, substring, topk, urls
+from hourlake.llm.common import share_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -35,6 +37,11 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(_table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of near copies of every document."""
+    return jaccard.components(_table(spark, sf_dir, "documents"))
+
+
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents replicated to sources weighted by the square root of
     their size, in shuffled order."""
@@ -62,7 +69,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op1_topk_search, op2_byte_bpe, op3_quality_rules, op4_secret_scans, op6_source_mixing, op7_url_filters, op8_sharding,
+    op1_topk_search, op2_byte_bpe, op3_quality_rules, op4_secret_scans, op5_jaccard_join, op6_source_mixing, op7_url_filters, op8_sharding,
     op9_personal_data, op10_substring_dedup)}
 
 # Poisson terms cumulated in the same order as the operator's table.
