@@ -10,15 +10,16 @@ document's class: all that links can reach.
     ``n - ceil(0.75 n) + 1`` of each, so only those go into the index lists;
     lists with one set are dropped at once.
 3.  Lists are cut into blocks by set size; blocks too far apart to link are
-    skipped, and so are pairs whose positions in their lists leave too few
-    shingles to share.
-4.  Set relations: a set first meets only the smallest set of the blocks it is
-    in, the one it meets most.  Once that is verified, the answers of highly
-    similar sets are the same class, so within a list only sets of different
-    classes still have to meet.  Two such rounds settle groups of near copies in
-    linear work; the last round is complete: every pair of sets of different
-    classes that shares a list and passes the size and position bounds is
-    verified, so no link between classes is lost.
+    skipped, and so are entries whose position in their set's order leaves too
+    few shingles to share.
+4.  Set relations: a set first meets only the most central set of the blocks it
+    is in, the one it meets most.  Sets found similar to it share its class:
+    what one of them links with is reached from the others, so lists whose sets
+    have one class are done, and elsewhere only sets of different classes still
+    have to meet.  That settles groups of near copies in linear work.  The last
+    round is complete: every pair of sets of different classes that shares a
+    list and passes the size and position bounds is verified on the whole texts,
+    so no link between classes is lost.
 5.  Classes come from minimum labels over the verified links.
 
 Shingles are 64-bit hashes, sets are named by 64-bit hashes of their shingles;
@@ -48,7 +49,10 @@ from hourlake.session import cut_lineage
 WORDS = 5
 #: Similarity as a fraction: 100 * shared >= 75 * united.
 SHARED, UNITED = 3, 4
-ORDER_BUCKETS = 1 << 20
+ORDER_BUCKETS = 1 << 18
+SEEN = 200_000
+#: A star pair meets in one of so many of the larger set's lists.
+STAR_PART = 4
 #: Stands for a null id; larger than any other.
 NULL_ID = (1 << 63) - 1
 
@@ -105,19 +109,22 @@ def set_names(text: np.ndarray, items: np.ndarray, rows: int) -> np.ndarray:
 
 
 def _ids(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"), "text")
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
+                       F.xxhash64("doc_id", "text").alias("key"), "text")
 
 
 def document_sets(docs: DataFrame) -> DataFrame:
-    """``id, name, n``: the name and size of every document's set."""
+    """``id, key, name, n``: the name and size of every document's set; ``key``
+    is a hash of the row."""
     def run(batches):
         for batch in bounded(batches, "text"):
             text, items = shingles(batch.column("text"))
             n = np.bincount(text, minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(set_names(text, items, batch.num_rows)),
-                                              pa.array(n.astype(np.int32))], ["id", "name", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("key"), pa.array(set_names(text, items, batch.num_rows)),
+                 pa.array(n.astype(np.int32))], ["id", "key", "name", "n"])
 
-    return _ids(docs).mapInArrow(run, "id long, name long, n int")
+    return _ids(docs).mapInArrow(run, "id long, key long, name long, n int")
 
 
 def shingle_order(docs: DataFrame, buckets: int = ORDER_BUCKETS) -> np.ndarray:
@@ -142,32 +149,38 @@ def shingle_order(docs: DataFrame, buckets: int = ORDER_BUCKETS) -> np.ndarray:
 
 def prefix_length(n):
     """Of a set of n, the shingles one of which any linking set has too."""
-    return n - -(-n * SHARED // UNITED) + 1
+    return n + 1 + (-n * SHARED // UNITED)
 
 
 def index_lists(docs: DataFrame, level: np.ndarray) -> DataFrame:
-    """``item, name, n, at``: the first shingles of every set in the global
-    order, with their positions."""
+    """``item, name, place``: the first shingles of every set in the global
+    order; ``place`` is the set's size, shifted, and the shingle's position.
+    A task gives a set once, as far as it remembers the last ``SEEN`` names."""
     spread = docs.sparkSession.sparkContext.broadcast(level)
 
     def run(batches):
-        level = spread.value
+        level, seen = spread.value, set()
         for batch in bounded(batches, "text", 4 << 20):
             text, items = shingles(batch.column("text"))
             name = set_names(text, items, batch.num_rows)
             n = np.bincount(text, minlength=batch.num_rows)
+            fresh = np.zeros(batch.num_rows, bool)
+            for i, x in enumerate(name.tolist()):
+                fresh[i] = x not in seen
+                seen.add(x)
+            if len(seen) > SEEN:
+                seen.clear()
             order = np.lexsort((items, level[items & (len(level) - 1)], text))
             items, text = items[order], text[order]
             at = np.arange(len(items)) - (np.cumsum(n) - n)[text]
-            keep = np.flatnonzero(at < prefix_length(n)[text])
+            keep = np.flatnonzero((at < prefix_length(n)[text]) & fresh[text])
+            place = (n[text] << 32) + at
             for k in range(0, len(keep), 100_000):
                 part = keep[k:k + 100_000]
-                own = text[part]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(items[part]), pa.array(name[own]), pa.array(n[own].astype(np.int32)),
-                     pa.array(at[part].astype(np.int32))], ["item", "name", "n", "at"])
+                    [pa.array(items[part]), pa.array(name[text[part]]), pa.array(place[part])], ["item", "name", "place"])
 
-    return _ids(docs).mapInArrow(run, "item long, name long, n int, at int")
+    return _ids(docs).select("text").mapInArrow(run, "item long, name long, place long")
 
 
 def block_of(n):
@@ -176,31 +189,30 @@ def block_of(n):
     return F.floor(F.log(n.cast("double")) / math.log(UNITED / SHARED) + 1e-9).cast("int")
 
 
-def set_contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``name, items`` of the sets of ``wanted`` (``name, id``: one document
-    of each set)."""
-    def run(batches):
-        for batch in bounded(batches, "text", 4 << 20):
-            text, items = shingles(batch.column("text"))
-            name = set_names(text, items, batch.num_rows)
-            ends = np.searchsorted(text, np.arange(batch.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(name), pa.ListArray.from_arrays(
-                pa.array(ends), pa.array(items))], ["id", "name", "items"])
-
-    key = F.xxhash64("id").alias("key")
-    few = maybe_in(_ids(docs).select("*", key), wanted.select(key), "key").select("id", "text")
-    sets = few.mapInArrow(run, "id long, name long, items array<long>")
-    return sets.join(wanted, ["id", "name"], "left_semi").dropDuplicates(["name"]).select("name", "items")
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of sets that are similar enough, counted on the whole
+    texts of one document of each."""
+    one = lambda c: classes.select(F.col("name").alias(c), F.col("head.id").alias(f"{c}_id"), F.col("head.key").alias(f"{c}_key"))
+    pairs = cut_lineage(pairs.join(one("a"), "a").join(one("b"), "b"))
+    wanted = pairs.select(F.explode(F.array("a_key", "b_key")).alias("key")).distinct()
+    rows = maybe_in(_ids(docs), wanted, "key")
+    of = lambda c: rows.select(F.col("id").alias(f"{c}_id"), F.col("key").alias(f"{c}_key"), F.col("text").alias(f"{c}_text"))
+    both = pairs.join(of("b"), ["b_id", "b_key"]).join(of("a"), ["a_id", "a_key"])
 
+    def run(batches):
+        for batch in bounded(batches, "a_text", 2 << 20):
+            for part in bounded([batch], "b_text", 2 << 20):
+                (text, items), (text2, items2) = shingles(part.column("a_text")), shingles(part.column("b_text"))
+                n, n2 = (np.bincount(t, minlength=part.num_rows) for t in (text, text2))
+                every, row = np.concatenate([items, items2]), np.concatenate([text, text2])
+                order = np.lexsort((every, row))
+                every, row = every[order], row[order]
+                twice = (every[1:] == every[:-1]) & (row[1:] == row[:-1])
+                shared = np.bincount(row[1:][twice], minlength=part.num_rows)
+                hit = pa.array(np.flatnonzero(UNITED * shared >= SHARED * (n + n2 - shared)))
+                yield pa.RecordBatch.from_arrays([part.column(c).take(hit) for c in ("a", "b")], ["a", "b"])
 
-def verified(pairs: DataFrame, contents: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` whose sets are similar enough."""
-    left = contents.select(F.col("name").alias("b"), F.col("items").alias("b_items"))
-    right = contents.select(F.col("name").alias("a"), F.col("items").alias("a_items"))
-    both = pairs.join(left, "b").join(right, "a")
-    shared = F.size(F.array_intersect("a_items", "b_items"))
-    united = F.size("a_items") + F.size("b_items") - shared
-    return both.where(UNITED * shared >= SHARED * united).select("a", "b")
+    return both.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long").distinct()
 
 
 def minimum_labels(links: DataFrame) -> DataFrame:
@@ -228,55 +240,60 @@ def _classed(lists: DataFrame, links: DataFrame) -> DataFrame:
     """The lists with each set's class so far; lists of one class are dropped,
     their sets' answers being known."""
     labels = minimum_labels(links)
-    lists = lists.drop("label").join(labels, "name", "left").withColumn("label", F.coalesce("label", "name"))
+    lists = lists.join(labels, "name", "left").withColumn("label", F.coalesce("label", "name"))
     mixed_lists = lists.groupBy("item").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y")
     return cut_lineage(lists.join(mixed_lists.select("item"), "item", "left_semi"))
 
 
 def _star_pairs(lists: DataFrame) -> DataFrame:
-    """For each set the one smaller set, first of a block it is in, that it
-    meets in most lists."""
-    heads = lists.groupBy("item", "block").agg(F.min(F.struct("n", "name", "label")).alias("h"))
-    meets = lists.join(heads, ["item", "block"]).where("label != h.label")
-    meets = meets.groupBy(F.col("h.name").alias("a"), F.col("name").alias("b")).agg(F.count("*").alias("k"))
-    return meets.groupBy("b").agg(F.max(F.struct("k", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+    """For each set the most central set of a block it is in, that it meets in
+    most lists, if those are a fair part of its lists.  A set is the more
+    central the more sets its lists hold: among near copies, the one with the
+    fewest shingles of its own.  What is left out here still meets in the
+    complete round."""
+    heads = lists.groupBy("item", "block").agg(F.max(F.struct("weight", "name")).alias("h"))
+    meets = lists.join(heads, ["item", "block"]).where("name != h.name")
+    meets = meets.groupBy(F.col("h.name").alias("a"), F.col("name").alias("b"), "n").agg(F.count("*").alias("k"))
+    best = meets.groupBy("b", "n").agg(F.max(F.struct("k", "a")).alias("m"))
+    return best.where(STAR_PART * UNITED * F.col("m.k") >= F.col("n")).select(F.col("m.a").alias("a"), "b")
 
 
 def _all_pairs(lists: DataFrame) -> DataFrame:
-    """Every pair of sets of different classes that shares a list and may
-    link, by the sizes, the shared shingles of the lists and the positions."""
-    left = lists.select("item", "name", "label", "n", "at", F.explode(F.array(F.col("block"), F.col("block") + 1)).alias("block"))
-    right = lists.select("item", "block", *(F.col(c).alias(f"{c}2") for c in ("name", "label", "n", "at", "block")))
-    met = left.join(right, ["item", "block"]).where("label != label2")
-    # each unordered pair once: by size, then name
-    met = met.where("n < n2 OR (n = n2 AND name < name2)").where(UNITED * F.col("n") >= SHARED * F.col("n2"))
-    pairs = met.groupBy(F.col("name").alias("a"), F.col("name2").alias("b"), "n", "n2").agg(
-        F.countDistinct("item").alias("k"), F.max("at").alias("i"), F.max("at2").alias("j"))
-    # beyond the last shared shingle of both prefixes only what follows it can be shared
-    most = F.col("k") + F.least(F.col("n") - 1 - F.col("i"), F.col("n2") - 1 - F.col("j"))
-    return pairs.where((SHARED + UNITED) * most >= SHARED * (F.col("n") + F.col("n2"))).select("a", "b")
-
-
-def components(docs: DataFrame, order_buckets: int = ORDER_BUCKETS, stars: int = 2) -> DataFrame:
+    """Every pair of sets of different classes that may link.  Of two sets that
+    link, the first shingle that they share has too few before it, in either,
+    for the rest to fall short; entries further down a set's order, and blocks
+    of other sizes, are skipped."""
+    left = lists.where((SHARED + UNITED) * F.col("at") <= F.col("n")).select(
+        "item", "name", "label", "n", "at", F.explode(F.array(F.col("block"), F.col("block") + 1)).alias("block"))
+    right = lists.select("item", "block", *(F.col(c).alias(f"{c}2") for c in ("name", "label", "n", "at")))
+    right = right.withColumnsRenamed({"item": "item2", "block": "block2"})
+    n, n2 = F.col("n"), F.col("n2")
+    may_link = ((SHARED + UNITED) * F.least(n - F.col("at"), n2 - F.col("at2")) >= SHARED * (n + n2)) & (
+        UNITED * n >= SHARED * n2) & ((n < n2) | ((n == n2) & (F.col("name") < F.col("name2"))))
+    met = left.join(right, (F.col("item") == F.col("item2")) & (F.col("block") == F.col("block2"))
+                    & (F.col("label") != F.col("label2")) & may_link)
+    return met.select(F.col("name").alias("a"), F.col("name2").alias("b")).distinct()
+
+
+def components(docs: DataFrame, order_buckets: int = ORDER_BUCKETS) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document."""
     documents = cut_lineage(document_sets(docs))
-    classes = documents.where("n > 0").groupBy("name").agg(F.min("id").alias("id"))
-    lists = index_lists(docs, shingle_order(docs, order_buckets)).groupBy("item", "name").agg(
-        F.min(F.struct("n", "at")).alias("x"))
+    classes = documents.where("n > 0").groupBy("name").agg(F.min(F.struct("id", "key")).alias("head"))
+    # dealt by shingle once: sums by set and counts of sets then stay in place
+    lists = index_lists(docs, shingle_order(docs, order_buckets)).repartition("item")
+    lists = lists.groupBy("item", "name").agg(F.min("place").alias("place"))
     shared = lists.withColumn("sets", F.count("*").over(Window.partitionBy("item"))).where("sets > 1")
-    lists = cut_lineage(shared.select("item", "name", F.col("x.n").alias("n"), F.col("x.at").alias("at"),
-                                      block_of(F.col("x.n")).alias("block"), F.col("name").alias("label")))
-    wanted = lists.select("name").distinct().join(classes, "name")
-    contents = cut_lineage(set_contents(docs, wanted))
-    links = lists.select(F.col("name").alias("a"), F.col("name").alias("b")).limit(0)
-    rest = lists
-    for _ in range(stars):
-        links = cut_lineage(links.unionByName(verified(_star_pairs(rest), contents)))
-        rest = _classed(rest, links)
-    links = links.unionByName(verified(_all_pairs(rest), contents))
+    n = F.shiftright("place", 32).cast("int")
+    shared = shared.select("item", "name", n.alias("n"), (F.col("place") % F.lit(1 << 32)).cast("int").alias("at"),
+                           block_of(n).alias("block"), "sets")
+    central = shared.groupBy("name").agg(F.sum("sets").alias("weight"))
+    lists = cut_lineage(shared.drop("sets").join(central, "name"))
+    links = cut_lineage(verified(_star_pairs(lists), docs, classes))
+    rest = _classed(lists, links)
+    links = cut_lineage(links.unionByName(verified(_all_pairs(rest), docs, classes)))
     labels = minimum_labels(links)
     grouped = classes.join(labels, "name", "left").withColumn("label", F.coalesce("label", "name"))
-    smallest = grouped.groupBy("label").agg(F.min("id").alias("component"))
+    smallest = grouped.groupBy("label").agg(F.min("head.id").alias("component"))
     named = grouped.join(smallest, "label").select("name", "component")
     out = documents.join(named, "name", "left").withColumn("component", F.coalesce("component", "id"))
     known = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
