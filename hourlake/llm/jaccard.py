@@ -49,7 +49,7 @@ from hourlake.session import cut_lineage
 WORDS = 5
 #: Similarity as a fraction: 100 * shared >= 75 * united.
 SHARED, UNITED = 3, 4
-ORDER_BUCKETS = 1 << 18
+ORDER_BUCKETS = 1 << 20
 SEEN = 200_000
 #: A star pair meets in one of so many of the larger set's lists.
 STAR_PART = 4
@@ -129,7 +129,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
 
 def shingle_order(docs: DataFrame, buckets: int = ORDER_BUCKETS) -> np.ndarray:
     """By bucket of a shingle's hash: how frequent its shingles are, as the
-    rounded logarithm of their count over all documents (in half steps)."""
+    rounded logarithm of their count over all documents (in quarter steps)."""
     def run(batches):
         counts = np.zeros(buckets, np.int64)
         for batch in bounded(batches, "text"):
@@ -141,7 +141,7 @@ def shingle_order(docs: DataFrame, buckets: int = ORDER_BUCKETS) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(counts[part])], ["bucket", "n"])
 
     counts = _ids(docs).mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    rows = counts.select("bucket", F.round(2 * F.log2("n")).cast("byte").alias("level")).toArrow()
+    rows = counts.select("bucket", F.round(4 * F.log2("n")).cast("byte").alias("level")).toArrow()
     level = np.zeros(buckets, np.uint8)
     level[rows.column("bucket").to_numpy()] = rows.column("level").to_numpy()
     return level
