@@ -112,7 +112,8 @@ def histogram(df: DataFrame, cols, bins: int = HIST_BINS) -> DataFrame:
         x = F.col(c_).cast("double")
         mm = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
         lo, hi = mm.select("lo").scalar(), mm.select("hi").scalar()
-        b = F.least(F.floor((x - lo) / (hi - lo) * bins) + 1, F.lit(bins))
+        # a constant column has one bin
+        b = F.when(hi > lo, F.least(F.floor((x - lo) / (hi - lo) * bins) + 1, F.lit(bins))).otherwise(F.lit(1))
         parts.append(df.filter(x.isNotNull()).select(F.lit(c_).alias("column"), b.cast("int").alias("bin"),
                                                        lo.alias("lo"), hi.alias("hi")))
     u = parts[0]
@@ -211,14 +212,15 @@ def shares_pivot(df: DataFrame, key: str, cat: str, values, prefix: str = "pct_"
 
 def _poisson1(u: F.Column) -> F.Column:
     """Poisson(1) draw from a uniform in [0, 1) by inverting the CDF (cut
-    points e^-1 * sum 1/j!, j = 0..9; P(X > 9) < 1.2e-7 is folded into 9)."""
+    points e^-1 * sum 1/j!).  The cut points go on until none of the 52-bit
+    uniforms lies beyond the last, so the whole tail is drawn."""
     cdf, acc, term = [], 0.0, math.exp(-1.0)
-    for j in range(10):
+    while acc < 1 - 2.0 ** -53 and (not cdf or acc + term > acc):
         acc += term
         cdf.append(acc)
-        term /= (j + 1)
-    expr = F.lit(9)
-    for j in reversed(range(9)):
+        term /= len(cdf)
+    expr = F.lit(len(cdf))
+    for j in reversed(range(len(cdf))):
         expr = F.when(u < cdf[j], F.lit(j)).otherwise(expr)
     return expr
 

@@ -125,8 +125,9 @@ def check_pk(df: DataFrame, keys) -> DataFrame:
 
 
 def check_fk(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Child rows whose key has no parent."""
-    return child.join(parent.select(key).distinct(), key, "left_anti")
+    """Child rows whose key has no parent; as in SQL, a NULL key refers
+    to nothing and breaks nothing."""
+    return child.filter(F.col(key).isNotNull()).join(parent.select(key), key, "left_anti")
 
 
 def check_range(df: DataFrame, checks: dict) -> DataFrame:

@@ -70,7 +70,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys, update_cols, load_t
 def rollback_batch(target: DataFrame, batch_id, batch_col: str = "batch_id") -> DataFrame:
     """The table without the rows of one batch."""
     b = F.lit(batch_id) if isinstance(batch_id, str) else batch_id
-    return target.filter(F.col(batch_col) != b)
+    return target.filter(~F.col(batch_col).eqNullSafe(b))
 
 
 # ---- persisted tables -------------------------------------------------------
@@ -85,6 +85,15 @@ def write_partitioned(df: DataFrame, path: str, partition_cols, fmt: str = "parq
        .partitionBy(*partition_cols).format(fmt).save(path))
 
 
+def empty_target(source: DataFrame, inserted_col: str = "inserted_at", modified_col: str = "modified_at",
+                 batch_col: str = "batch_id", **_) -> DataFrame:
+    """A table without rows for a first load: the source's columns and the
+    audit columns."""
+    types = {inserted_col: "timestamp_ntz", modified_col: "timestamp_ntz", batch_col: "string"}
+    return source.limit(0).select(*source.columns, *[F.lit(None).cast(t).alias(c) for c, t in types.items()
+                                                     if c and c not in source.columns])
+
+
 def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys, update_cols,
                        partition_col: str, load_ts, batch_id, **kw) -> str:
     """Upsert ``source`` into the Parquet table at ``path`` partitioned by
@@ -105,17 +114,19 @@ def upsert_partitioned(spark: SparkSession, path: str, source: DataFrame, keys,
     touched = [r[0] for r in source.select(partition_col).distinct().collect()]
     try:
         target = spark.read.parquet(path).filter(F.col(partition_col).isin(touched))
-    except AnalysisException:
+    except AnalysisException as error:
+        # only a missing table is a first load; any other fault must not overwrite
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         target = None
     if target is None:
-        merged = merge_upsert(source.limit(0).select(*source.columns), source, keys, update_cols,
-                              load_ts, batch_id, **kw)
+        merged = merge_upsert(empty_target(source, **kw), source, keys, update_cols, load_ts, batch_id, **kw)
     else:
         merged = merge_upsert(target, source.select(*target.columns) if set(target.columns) <= set(source.columns)
                               else source, keys, update_cols, load_ts, batch_id, **kw)
     staging = f"{scratch_root(spark)}/staging/{uuid.uuid4().hex}"
     write_partitioned(merged, staging, [partition_col])
-    write_partitioned(spark.read.parquet(staging), path, [partition_col])
+    write_partitioned(spark.read.schema(merged.schema).parquet(staging), path, [partition_col])
     return staging
 
 
@@ -126,9 +137,10 @@ def delete_batch_partitioned(spark: SparkSession, path: str, batch_id: str, part
     touched = [r[0] for r in current.filter(F.col(batch_col) == batch_id)
                .select(partition_col).distinct().collect()]
     staging = f"{scratch_root(spark)}/staging/{uuid.uuid4().hex}"
-    kept = current.filter(F.col(partition_col).isin(touched) & (F.col(batch_col) != batch_id))
+    kept = rollback_batch(current.filter(F.col(partition_col).isin(touched)), batch_id, batch_col)
     write_partitioned(kept, staging, [partition_col])
-    staged = spark.read.parquet(staging)
+    # nothing is staged when the batch owns all its partitions: the schema is the table's
+    staged = spark.read.schema(current.schema).parquet(staging)
     # a partition left empty must still be replaced: write it from the
     # staging copy, or drop its rows by overwriting with the staged rows.
     write_partitioned(staged, path, [partition_col])

@@ -168,13 +168,11 @@ def q_feature_importances(spark, sf_dir):
 @query("score_alerts")
 def q_score_alerts(spark, sf_dir):
     """Fit on all rows, score the serving features of every run
-    hour of the last day, apply the alert rule."""
+    hour, apply the alert rule."""
     g = Gold(spark, sf_dir)
     names = FE.feature_names(PLACE_VOCAB)
     model = ML.fit_all(training_set(g), names, ML.forest())
-    last_day = g.measures.agg(F.max(F.floor(F.col("slot") / 100))).scalar()
-    serving = (FE.serving_features(g.measures, g.forecast(), PLACE_VOCAB)
-               .filter(F.floor(F.col("run_slot") / 100) == last_day))
+    serving = FE.serving_features(g.measures, g.forecast(), PLACE_VOCAB)
     return ML.score(model, serving, names, "scheduled__score", "2024-02-01 00:00:00")
 
 
@@ -185,7 +183,8 @@ def q_tumbling_hour(spark, sf_dir):
     """L2 batch twin: hourly event-time windows of raw readings per place."""
     from hourlake.sources import testdata as TD
     from hourlake.streaming import incremental as ST
-    r = TD.readings(TD.table(spark, sf_dir, "events"))
+    # the events' values have two decimals; as decimals their means are exact
+    r = TD.readings(TD.table(spark, sf_dir, "events")).withColumn("value", F.col("value").cast("decimal(12,2)"))
     return ST.hourly_window_batch(r, "ts", "place", "value")
 
 
@@ -201,7 +200,8 @@ def q_tumbling_hour_stream(spark, sf_dir):
     schema = TD.table(spark, sf_dir, "events").schema
     stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
               .option("maxFilesPerTrigger", 1).parquet(sf_dir))
-    agg = ST.hourly_window(TD.readings(stream), "ts", "place", "value", dedup_keys=("event_id", "ts"))
+    readings = TD.readings(stream).withColumn("value", F.col("value").cast("decimal(12,2)"))
+    agg = ST.hourly_window(readings, "ts", "place", "value", dedup_keys=("event_id", "ts"))
     name = f"tumbling_hour_{uuid.uuid4().hex[:8]}"
     ckpt = f"{ensure_checkpoint_dir(spark)}/{name}"
     return ST.run_to_table(spark, agg, name, ckpt, mode="complete")

@@ -6,7 +6,6 @@ DataFrames. ``build_session`` is for tests, the bench and command-line use.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="hourlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -87,23 +88,19 @@ def scratch_root(spark: SparkSession) -> str:
     base = spark.conf.get("hourlake.warehouse.dir", None)
     if base:
         return base
-    ensure_checkpoint_dir(spark)
-    root = spark.conf.get("spark.checkpoint.dir")
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    return os.path.join(root, "hourlake-warehouse")
+    return f"{ensure_checkpoint_dir(spark)}/hourlake-warehouse"
 
 
-def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict:
+def scale_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict:
     """Partition sizing for a given input volume.
 
     Scan splits and post-shuffle partitions both target ``partition_bytes``
     (256 MB default: fits comfortably in an executor core's share of memory
     with room for sort buffers), so 100 TB gives ~400k scan tasks and the
-    shuffle starts at input / partition size (capped), which AQE coalesces
+    shuffle starts at input / partition size, which AQE coalesces
     toward the advisory size at runtime.
     """
-    n = max(1, min(max_partitions, -(-int(input_bytes) // partition_bytes)))
+    n = max(1, -(-int(input_bytes) // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(n),

@@ -134,21 +134,23 @@ def air_documents(readings: DataFrame) -> DataFrame:
     return txt.select("place", "slot", F.from_json("payload", AIR_SCHEMA).alias("doc"))
 
 
-def zip_forecast(df: DataFrame, doc_col: str = "doc") -> DataFrame:
+def zip_forecast(df: DataFrame, doc_col: str = "doc", run_col: str | None = None) -> DataFrame:
     """Parallel hourly arrays -> one row per (place, time); times are
-    naive local ``yyyy-MM-dd'T'HH:mm``; a repeated time keeps the last
-    array position."""
+    naive local ``yyyy-MM-dd'T'HH:mm``; a repeated time keeps the newest run
+    (``run_col`` of the document, where there is one), then the last array
+    position."""
+    run = F.col(run_col) if run_col else F.lit(0)
     h = F.col(doc_col).getField("hourly")
-    z = df.select("place", F.posexplode(F.arrays_zip(
+    z = df.select("place", run.alias("_run"), F.posexplode(F.arrays_zip(
         h.getField("time").alias("time"), h.getField("wind_direction_10m").alias("wind_direction"),
         h.getField("cloud_cover").alias("cloud_cover"),
         h.getField("precipitation").alias("precipitation"))).alias("pos", "r"))
-    z = z.select("place", "pos", F.to_timestamp_ntz(F.col("r.time"), F.lit("yyyy-MM-dd'T'HH:mm")).alias("fc_ts"),
+    z = z.select("place", "_run", "pos", F.to_timestamp_ntz(F.col("r.time"), F.lit("yyyy-MM-dd'T'HH:mm")).alias("fc_ts"),
                  F.col("r.wind_direction").cast("int").alias("wind_direction"),
                  F.col("r.cloud_cover").cast("int").alias("cloud_cover"),
                  F.col("r.precipitation").alias("precipitation"))
     best = z.groupBy("place", "fc_ts").agg(F.max_by(F.struct("wind_direction", "cloud_cover", "precipitation"),
-                                                    F.col("pos")).alias("v"))
+                                                    F.struct("_run", "pos")).alias("v"))
     return best.select("place", "fc_ts", "v.*")
 
 

@@ -22,10 +22,13 @@ from hourlake.functions import columns as X
 
 
 def _hour_agg(df: DataFrame, ts: str, key: str, value: str) -> DataFrame:
+    """Counts and means by hour, in the column's own type: an exact decimal
+    mean of a decimal column, a rounded double mean of any other."""
     w = F.window(ts, "1 hour")
+    exact = dict(df.dtypes)[value].startswith("decimal")
+    mean = X.decimal_mean(F.col(value), 4) if exact else F.round(F.avg(value), 4)
     return (df.groupBy(w.alias("w"), key)
-            .agg(F.count(F.lit(1)).alias("n"),
-                 X.decimal_mean(F.col(value).cast("decimal(12,2)"), 4).alias("value_mean"))
+            .agg(F.count(F.lit(1)).alias("n"), mean.alias("value_mean"))
             .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), key, "n", "value_mean"))
 
 

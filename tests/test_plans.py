@@ -42,5 +42,5 @@ def test_dimension_join_broadcast_after_aqe(spark):
 def test_scale_conf_sizes_partitions():
     from hourlake.session import scale_conf
     c = scale_conf(100 * (1 << 40))
-    assert int(c["spark.sql.shuffle.partitions"]) == 200_000
+    assert int(c["spark.sql.shuffle.partitions"]) == 409_600
     assert int(scale_conf(1 << 30)["spark.sql.shuffle.partitions"]) == 4
