@@ -18,6 +18,7 @@ gives an empty result; other input columns are ignored.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from functools import lru_cache
 
@@ -62,6 +63,8 @@ def _automaton() -> tuple[np.ndarray, np.ndarray]:
 
 STEP, START = _automaton()
 BLOCK = 64
+#: Bytes of text scanned at a time (a longer text stays whole).
+PART = 512 << 10
 
 
 def states_before(symbols: np.ndarray) -> np.ndarray:
@@ -201,7 +204,7 @@ class Encoder:
     """Encodes batches of texts; keeps a cache of merged pieces, cleared when
     full and without pieces of over 64 bytes, so its memory is bounded."""
 
-    def __init__(self, path: str, cache_size: int = 500_000):
+    def __init__(self, path: str, cache_size: int = 200_000):
         self.ranks, self.cache, self.cache_size = load_ranks(path), {}, cache_size
 
     def piece(self, piece: bytes) -> tuple[int, ...]:
@@ -245,6 +248,25 @@ class Encoder:
         return self._lengths
 
 
+@lru_cache(maxsize=4)
+def load_tokens(path: str) -> list[bytes]:
+    """The bytes of every token, by rank."""
+    ranks = load_ranks(path)
+    tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
+def decode(ids: np.ndarray, tokens: list[bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, ids.tolist()))
+
+
+def pack(ids: np.ndarray) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    return ids.astype("<u4").tobytes()
+
+
 def _path(path: str | None) -> str:
     if path:
         return path
@@ -253,6 +275,14 @@ def _path(path: str | None) -> str:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
+def _coded(batches, path: str):
+    """Parts of the record batches, with the ids and offsets of their texts.
+    The scan's arrays take some forty bytes a byte of text, so parts are small."""
+    encoder = Encoder(path)
+    for batch in bounded(batches, "text", PART):
+        yield batch, encoder.encode([t or "" for t in batch.column("text").to_pylist()])
+
+
 def encode_bpe(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id, ids, offsets`` of every whole text: token ids without special
     tokens, and the byte offset in the text at which each token starts."""
@@ -262,9 +292,7 @@ def encode_bpe(docs: DataFrame, path: str | None = None) -> DataFrame:
                            T.StructField("offsets", T.ArrayType(T.LongType()))])
 
     def run(batches):
-        encoder = Encoder(path)
-        for batch in bounded(batches, "text", 2 << 20):
-            coded = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
+        for batch, coded in _coded(batches, path):
             ends = np.cumsum([0, *(len(ids) for ids, _ in coded)]).astype(np.int32)
             flat = [np.concatenate([x[i] for x in coded]) for i in (0, 1)]
             columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(kind)))
@@ -283,18 +311,15 @@ def decode_bpe(coded: DataFrame, path: str | None = None) -> DataFrame:
                            T.StructField("packed", T.BinaryType())])
 
     def run(batches):
-        ranks = load_ranks(path)
-        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
+        tokens = load_tokens(path)
         for batch in batches:
             if not batch.num_rows:
                 continue
             column = batch.column("ids")
             flat, ends = column.values.to_numpy(), column.offsets.to_numpy()
             rows = [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
-            decoded = pa.array([b"".join(map(tokens.__getitem__, ids.tolist())) for ids in rows], pa.binary())
-            packed = pa.array([ids.astype("<u4").tobytes() for ids in rows], pa.binary())
+            decoded = pa.array([decode(ids, tokens) for ids in rows], pa.binary())
+            packed = pa.array([pack(ids) for ids in rows], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in range(batch.num_columns)), decoded, packed], [*names, "decoded", "packed"])
 
@@ -302,7 +327,20 @@ def decode_bpe(coded: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def bpe_report(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """Encode, decode and digest every document."""
-    both = decode_bpe(encode_bpe(docs, path).select("doc_id", "ids"), path)
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                       F.sha2("packed", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """Encode, decode and digest every document, in one pass over the texts:
+    ids and decoded bytes stay in the worker that made them."""
+    path = _path(path)
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType),
+                           T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
+                           T.StructField("decoded_sha256", T.StringType())])
+    digest = lambda data: hashlib.sha256(data).hexdigest()
+
+    def run(batches):
+        tokens = load_tokens(path)
+        for batch, coded in _coded(batches, path):
+            ids = [ids for ids, _ in coded]
+            columns = [pa.array([len(x) for x in ids], pa.int64()), pa.array([digest(pack(x)) for x in ids], pa.string()),
+                       pa.array([digest(decode(x, tokens)) for x in ids], pa.string())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], schema.names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
