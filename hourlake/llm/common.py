@@ -81,7 +81,7 @@ class Rolling:
     def __init__(self, data: np.ndarray, seed: int):
         random = np.random.default_rng(seed)
         table = random.integers(0, 1 << 64, 256, np.uint64)
-        base = int(random.integers(0, 1 << 64, dtype=np.uint64)) | 1
+        self.base = base = int(random.integers(0, 1 << 64, dtype=np.uint64)) | 1
         with np.errstate(over="ignore"):
             up = self._powers(base, len(data) + 1)
             self.down = self._powers(pow(base, -1, 1 << 64), len(data) + 1)
@@ -94,7 +94,22 @@ class Rolling:
         out[0] = 1
         return np.cumprod(out, dtype=np.uint64)
 
+    def values(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Polynomials of slices; ``joined`` makes that of two neighbours."""
+        with np.errstate(over="ignore"):
+            return (self.sums[stop] - self.sums[start]) * self.down[start]
+
     def slices(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return self.named(self.values(start, stop), stop - start)
+
+    @staticmethod
+    def named(value: np.ndarray, size) -> np.ndarray:
+        """The hash of slices from their polynomials and sizes."""
+        with np.errstate(over="ignore"):
+            return mixed(value + np.asarray(size).astype(np.uint64))
+
+    def joined(self, left: np.ndarray, size: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Polynomials of slices of the given sizes with others behind them."""
+        powers = self._powers(self.base, int(size.max(initial=0)) + 1)
         with np.errstate(over="ignore"):
-            value = (self.sums[stop] - self.sums[start]) * self.down[start]
-            return mixed(value + (stop - start).astype(np.uint64))
+            return left + powers[size] * right
