@@ -259,6 +259,35 @@ def batch_filter(fact: DataFrame, prefix: str) -> DataFrame:
     return fact.filter(F.col("batch_id").startswith(prefix))
 
 
+def batch_rows(fact: DataFrame, batch_id) -> DataFrame:
+    """Rows of exactly one batch."""
+    return fact.filter(F.col("batch_id") == (F.lit(batch_id) if isinstance(batch_id, str) else batch_id))
+
+
+def changed_rows(fact: DataFrame) -> DataFrame:
+    """C17: rows changed after their first insert."""
+    return fact.filter(F.col("modified_at") != F.col("inserted_at"))
+
+
+def join_loss(before: DataFrame, other: DataFrame, keys) -> DataFrame:
+    """Rows before a join on ``keys``, rows with a partner, rows lost,
+    all in one plan; repeated partners count once, a null key has none."""
+    hit = other.select(*keys).distinct().withColumn("_hit", F.lit(1))
+    return (before.select(*keys).join(hit, list(keys), "left")
+            .agg(F.count(F.lit(1)).alias("rows_before"), F.count("_hit").alias("rows_after"))
+            .withColumn("rows_lost", F.col("rows_before") - F.col("rows_after")))
+
+
+def config_coverage(measures: DataFrame, configured: DataFrame) -> DataFrame:
+    """Every configured place with its hours and those that each source
+    delivered; a place that never delivered has none and isn't covered."""
+    ok = lambda c_: F.sum((F.col(c_) == "OK").cast("long"))
+    got = measures.groupBy("place").agg(F.count(F.lit(1)).alias("n_hours"), ok("weather_status").alias("n_weather"),
+                                        ok("air_status").alias("n_air"))
+    j = configured.join(got, "place", "left").na.fill(0, ["n_hours", "n_weather", "n_air"])
+    return j.withColumn("covered", F.col("n_hours") > 0)
+
+
 def metric_pair(fact: DataFrame, places: DataFrame, a: str = "humidity", b: str = "pm25") -> DataFrame:
     """Rows where both metrics are present."""
     f = fact.filter(F.col(a).isNotNull() & F.col(b).isNotNull())

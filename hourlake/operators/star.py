@@ -57,11 +57,16 @@ def countries(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(COUNTRY_ROWS, "country string, country_name string")
 
 
-def place_dim(measures: DataFrame, place_col: str = "place") -> DataFrame:
+def place_dim(measures: DataFrame, place_col: str = "place", existing: DataFrame | None = None) -> DataFrame:
     """Place dimension: distinct places with an identity-like key in name
-    order.  The ranking window runs over the distinct-place set only, whose
-    size is the number of places, not the number of rows."""
+    order.  With ``existing``, the stored dimension, its places keep their
+    keys and only new places get further ones.  The ranking window runs over
+    the distinct-place set only, whose size is the number of places, not the
+    number of rows."""
     d = measures.select(F.col(place_col).alias("place")).distinct()
+    if existing is not None:
+        grown = new_members(d, existing, "place", "place_id")
+        return existing.select("place_id", "place").unionByName(grown.select("place_id", "place"))
     return d.select(F.row_number().over(Window.orderBy("place")).cast("int").alias("place_id"), "place")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hourlake.plans.oracle import HEAD, avg_hu, oracle, pct1, raw
+from hourlake.plans.oracle import HEAD, ORACLE, avg_hu, oracle, pct1, raw
 
 METRICS = ("temperature", "humidity", "pressure", "wind_speed", "aqi", "pm25", "pm10", "no2", "o3")
 ALL_NULL = "coalesce(" + ", ".join(f"CAST({m} AS DOUBLE)" for m in METRICS) + ") IS NULL"
@@ -191,3 +191,21 @@ SELECT a.place, a.slot, least(greatest(a.v, ca.lo), ca.hi) AS aqi_w, least(great
   least(greatest(c.v, cc.lo), cc.hi) AS pm10_w
 FROM f_aqi a JOIN f_pm25 b USING (place, slot) JOIN f_pm10 c USING (place, slot), c_aqi ca, c_pm25 cb, c_pm10 cc""")
 qf("zip_arrays", "SELECT place, fc_ts, wind_direction, cloud_cover, precipitation FROM forecast")
+
+q("config_coverage", """SELECT c.place, count(m.place) AS n_hours,
+  CAST(coalesce(sum(CASE WHEN m.weather_status = 'OK' THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_weather,
+  CAST(coalesce(sum(CASE WHEN m.air_status = 'OK' THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_air, count(m.place) > 0 AS covered
+  FROM (SELECT 'V' || lpad(CAST(i AS VARCHAR), 2, '0') AS place FROM range(12) r(i)) c
+  LEFT JOIN measures m ON m.place = c.place GROUP BY c.place""")
+q("join_loss", """SELECT count(*) AS rows_before, count(p.place_id) AS rows_after,
+  count(*) - count(p.place_id) AS rows_lost
+  FROM fact f LEFT JOIN predictions p ON p.place_id = f.place_id AND p.target_ts = f.hour_ts""")
+raw("changed_rows", f"""SELECT place_id, slot, inserted_at, modified_at, batch_id
+  FROM ({ORACLE["upsert_fact"]}) u WHERE modified_at <> inserted_at""")
+q("batch_rows", """SELECT place_id, slot, batch_id FROM fact
+  WHERE batch_id = (SELECT arg_max(batch_id, (modified_at, batch_id)) FROM fact)""")
+q("place_dim_stable", """, stored AS (SELECT CAST(row_number() OVER (ORDER BY place) AS INTEGER) AS place_id, place
+  FROM (SELECT DISTINCT place FROM measures WHERE place <> 'V00'))
+  SELECT place_id, place FROM stored
+  UNION ALL SELECT CAST((SELECT max(place_id) FROM stored) + 1 AS INTEGER), place
+  FROM (SELECT DISTINCT place FROM measures WHERE place = 'V00')""")

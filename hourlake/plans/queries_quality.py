@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from hourlake.functions import columns as X
 from hourlake.operators import clean as C
 from hourlake.operators import features as FE
+from hourlake.operators import reports as R
 from hourlake.operators import star as S
 from hourlake.plans import measures as M
-from hourlake.plans.catalog import PLACE_VOCAB, Gold, query
+from hourlake.plans.catalog import PLACE_VOCAB, QUERIES, Gold, query
 from hourlake.sources import testdata as TD
 
 @query("full_outer_merge")
@@ -242,3 +243,44 @@ def q_zip_arrays(spark, sf_dir):
     fc = Gold(spark, sf_dir).forecast()
     docs = RAW.forecast_documents(fc)
     return RAW.zip_forecast(docs)
+
+
+# ---- load checks ---------------------------------------------------------
+
+CONFIGURED_PLACES = PLACE_VOCAB + ("V11",)  # the configuration names a place that never delivers
+
+
+@query("config_coverage")
+def q_config_coverage(spark, sf_dir):
+    """Configured places against what was delivered."""
+    configured = spark.createDataFrame([(p,) for p in CONFIGURED_PLACES], "place string")
+    return R.config_coverage(Gold(spark, sf_dir).measures, configured)
+
+
+@query("join_loss")
+def q_join_loss(spark, sf_dir):
+    """Fact rows that the join to their predictions drops."""
+    g = Gold(spark, sf_dir)
+    return R.join_loss(g.fact, g.predictions().withColumnRenamed("target_ts", "hour_ts"), ("place_id", "hour_ts"))
+
+
+@query("changed_rows")
+def q_changed_rows(spark, sf_dir):
+    """C17 on the fact after the MERGE of the staging batch."""
+    return R.changed_rows(QUERIES["upsert_fact"](spark, sf_dir)).select(
+        "place_id", "slot", "inserted_at", "modified_at", "batch_id")
+
+
+@query("batch_rows")
+def q_batch_rows(spark, sf_dir):
+    """The rows of the latest batch."""
+    f = Gold(spark, sf_dir).fact
+    return R.batch_rows(f, R.last_batch(f).select("batch_id").scalar()).select("place_id", "slot", "batch_id")
+
+
+@query("place_dim_stable")
+def q_place_dim_stable(spark, sf_dir):
+    """The stored dimension lacks the place that comes first by name; the
+    grown one keeps every stored key."""
+    m = Gold(spark, sf_dir).measures
+    return S.place_dim(m, existing=S.place_dim(m.filter(F.col("place") != PLACE_VOCAB[0])))

@@ -50,19 +50,35 @@ AIR_OK = "ok"
 WEATHER_NOT_FOUND = "404"
 
 
+def _in_hours(df: DataFrame, hours) -> DataFrame:
+    """Rows of the given (year, month, day, hour) partitions; all without any."""
+    if not hours:
+        return df
+    cond = F.lit(False)
+    for y, mo, d, h in hours:
+        cond = cond | ((F.col("year") == y) & (F.col("month") == mo) & (F.col("day") == d) & (F.col("hour") == h))
+    return df.filter(cond)
+
+
+def read_landed(spark: SparkSession, root: str, schema: T.StructType, hours=None) -> DataFrame:
+    """A1 on what ``land_raw`` wrote: the payloads parsed with the explicit
+    schema, beside the place and the partition columns; a payload that isn't
+    JSON gives NULL fields."""
+    stored = T.StructType([T.StructField("place", T.StringType()), T.StructField("payload", T.StringType()),
+                           *PARTITION_SCHEMA])
+    df = _in_hours(spark.read.schema(stored).parquet(root), hours)
+    doc = F.from_json("payload", schema)
+    return df.select(doc.alias("_doc"), *[f.name for f in PARTITION_SCHEMA], "place").select(
+        "_doc.*", *[f.name for f in PARTITION_SCHEMA], "place")
+
+
 def read_raw_json(spark: SparkSession, root: str, schema: T.StructType, hours=None) -> DataFrame:
     """A1: read landed documents with an explicit schema; partition columns
     are declared as strings so ``month=03`` stays ``03``; ``hours`` is a list
     of (year, month, day, hour) strings to prune to.  The place comes from
     the file name."""
     full = T.StructType(list(schema.fields) + PARTITION_SCHEMA)
-    df = spark.read.schema(full).option("multiLine", True).json(root)
-    if hours:
-        cond = None
-        for y, mo, d, h in hours:
-            c_ = ((F.col("year") == y) & (F.col("month") == mo) & (F.col("day") == d) & (F.col("hour") == h))
-            cond = c_ if cond is None else (cond | c_)
-        df = df.filter(cond)
+    df = _in_hours(spark.read.schema(full).option("multiLine", True).json(root), hours)
     return df.withColumn("place", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1))
 
 

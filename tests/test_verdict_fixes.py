@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from hourlake.operators import profile as P
+from hourlake.operators import reports as R
 from hourlake.operators import star as S
 from hourlake.operators import upsert as U
 from hourlake.sources import raw as RAW
@@ -58,3 +59,37 @@ def test_hourly_means_keep_their_digits(spark):
 def test_poisson_draws_reach_the_tail(spark):
     draw = spark.range(1).select(P._poisson1(F.lit(1 - 2.0 ** -52)).alias("k"), P._poisson1(F.lit(0.0)).alias("z"))
     assert draw.first().k > 12 and draw.first().z == 0
+
+
+def test_stored_places_keep_their_keys(spark):
+    stored = S.place_dim(spark.createDataFrame([("B",), ("C",)], "place string"))
+    rows = spark.createDataFrame([("A",), ("B",), ("D",), ("A",)], "place string")
+    got = {r.place: r.place_id for r in S.place_dim(rows, existing=stored).collect()}
+    assert got == {"B": 1, "C": 2, "A": 3, "D": 4}
+
+
+def test_landed_payloads_read_back(spark, tmpdir_path):
+    root = f"{tmpdir_path}/landed"
+    rows = [("Lyon", '{"main": {"temp": 12.5}, "sys": {"country": "FR"}}', "2024-03-05 07:00:00"), ("Nice", "no json", "2024-03-05 08:00:00")]
+    docs = spark.createDataFrame(rows, "place string, payload string, t string").withColumn("run_ts", F.to_timestamp_ntz("t"))
+    RAW.land_raw(docs, root)
+    flat = RAW.flatten_weather(RAW.read_landed(spark, root, RAW.WEATHER_SCHEMA).withColumn("slot", F.lit(1)))
+    got = {r.place: (r.temperature, r.country) for r in flat.collect()}
+    assert got == {"Lyon": (12.5, "FR"), "Nice": (None, None)}
+    one = RAW.read_landed(spark, root, RAW.WEATHER_SCHEMA, hours=[("2024", "03", "05", "08")])
+    assert [r.place for r in one.collect()] == ["Nice"]
+
+
+def test_join_loss_and_coverage(spark):
+    before = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
+    other = spark.createDataFrame([(1,), (1,), (None,)], "k int")
+    assert tuple(R.join_loss(before, other, ("k",)).first()) == (4, 2, 2)
+    rows = spark.createDataFrame([("a", "OK", "FAILED"), ("a", "OK", "OK")], "place string, weather_status string, air_status string")
+    got = {r.place: tuple(r)[1:] for r in R.config_coverage(rows, spark.createDataFrame([("a",), ("b",)], "place string")).collect()}
+    assert got == {"a": (2, 2, 1, True), "b": (0, 0, 0, False)}
+
+
+def test_changed_rows_and_one_batch(spark):
+    fact = spark.createDataFrame([(1, "b1", 1, 1), (2, "b1", 1, 2), (3, "b10", 1, 3)], "id int, batch_id string, inserted_at int, modified_at int")
+    assert sorted(r.id for r in R.changed_rows(fact).collect()) == [2, 3]
+    assert sorted(r.id for r in R.batch_rows(fact, "b1").collect()) == [1, 2]
