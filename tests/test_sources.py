@@ -41,8 +41,10 @@ def test_partition_filter_prunes_hours(spark, tmpdir_path):
     _land(tmpdir_path, "owm", "Lyon", WEATHER, h="09")
     df = RAW.read_raw_json(spark, os.path.join(tmpdir_path, "owm"), RAW.WEATHER_SCHEMA, hours=[("2023", "03", "05", "09")])
     assert df.count() == 1
-    assert "PartitionFilters: [isnotnull(hour" in df._jdf.queryExecution().executedPlan().toString() or \
-        "hour" in str(df._jdf.queryExecution().executedPlan().toString())
+    assert len(df.inputFiles()) == 2  # what the folder holds
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert all(f"{name}#" in filters for name in ("year", "month", "day", "hour"))
 
 
 def test_air_map_missing_pollutant_is_null_and_envelope(spark, tmpdir_path):
