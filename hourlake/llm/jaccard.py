@@ -30,8 +30,8 @@ Defined cases: null or wordless texts have an empty set and link with nothing;
 a text of fewer than five words is one shingle; repeated rows are equal sets; a
 null id loses to any other as a class's smallest, and is its class if alone;
 repeated ids are one document each; an empty table gives an empty result; other
-input columns are ignored by ``components`` and kept by ``drop_near_copies``,
-whose working columns start with ``_j_``.
+input columns are ignored by ``components`` and kept by ``keep_one_of_class``
+and ``drop_near_copies``, whose working columns start with ``_j_``.
 """
 
 from __future__ import annotations
@@ -275,8 +275,9 @@ def _all_pairs(lists: DataFrame) -> DataFrame:
     return met.select(F.col("name").alias("a"), F.col("name2").alias("b")).distinct()
 
 
-def components(docs: DataFrame, order_buckets: int = ORDER_BUCKETS) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document."""
+def _grouped(docs: DataFrame, order_buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Every document's set, and ``name, head, label`` of every set with words:
+    its smallest document and its class."""
     documents = cut_lineage(document_sets(docs))
     classes = documents.where("n > 0").groupBy("name").agg(F.min(F.struct("id", "key")).alias("head"))
     # dealt by shingle once: sums by set and counts of sets then stay in place
@@ -292,7 +293,12 @@ def components(docs: DataFrame, order_buckets: int = ORDER_BUCKETS) -> DataFrame
     rest = _classed(lists, links)
     links = cut_lineage(links.unionByName(verified(_all_pairs(rest), docs, classes)))
     labels = minimum_labels(links)
-    grouped = classes.join(labels, "name", "left").withColumn("label", F.coalesce("label", "name"))
+    return documents, classes.join(labels, "name", "left").withColumn("label", F.coalesce("label", "name"))
+
+
+def components(docs: DataFrame, order_buckets: int = ORDER_BUCKETS) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document."""
+    documents, grouped = _grouped(docs, order_buckets)
     smallest = grouped.groupBy("label").agg(F.min("head.id").alias("component"))
     named = grouped.join(smallest, "label").select("name", "component")
     out = documents.join(named, "name", "left").withColumn("component", F.coalesce("component", "id"))
@@ -301,9 +307,24 @@ def components(docs: DataFrame, order_buckets: int = ORDER_BUCKETS) -> DataFrame
                       known("component").alias("component_id"))
 
 
+def keep_one_of_class(docs: DataFrame, order_buckets: int = ORDER_BUCKETS) -> DataFrame:
+    """``docs`` with one row of each class, the smallest by id, then row hash,
+    and all rows without words; of rows equal in id and text, one.  Classes
+    whose smallest ids are equal or null keep a row each."""
+    documents, grouped = _grouped(docs, order_buckets)
+    heads = grouped.groupBy("label").agg(F.min("head").alias("head")).select("head.id", "head.key")
+    kept = heads.unionByName(documents.where("n = 0").select("id", "key").distinct())
+    kept = kept.withColumnsRenamed({"id": "_j_id", "key": "_j_key"})
+    rows = docs.withColumns({"_j_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)),
+                             "_j_key": F.xxhash64("doc_id", "text")})
+    rows = rows.join(kept, ["_j_id", "_j_key"], "left_semi")
+    return rows.dropDuplicates(["_j_id", "_j_key"]).select(*docs.columns)
+
+
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each component: the one whose id names it;
-    of rows that repeat an id, one."""
+    """``docs`` with one row for each component id, so ids stay unique: of
+    different classes named by one id, or by null, only one row is kept.
+    ``keep_one_of_class`` keeps them all."""
     kept = components(docs, **options).where("doc_id <=> component_id").select(F.col("doc_id").alias("_j_id")).distinct()
     rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_j_id"]), "left_semi")
     return rows.dropDuplicates(["doc_id"])
