@@ -1,8 +1,12 @@
 """Secret scans: fixed patterns, and a token-efficiency test for random strings.
 
 Text from a language compresses well under a byte-pair vocabulary; keys and
-passwords do not.  A run of key characters whose characters-per-token ratio is
-low is reported as ``random`` unless it is a known digest or an identifier.
+passwords do not.  A run of key characters is judged outside base spans, UUIDs
+and digests: as a whole, unless all its parts are letters only or digits only,
+and then part by part between its separators.  Neighbouring parts whose
+characters-per-token ratio is low together are reported as ``random``, whatever
+readable text stands beside them.  A part of digits only, or of letters that
+are one token, tells nothing by itself.
 
 Defined cases: a null text counts as empty; empty texts have no span; rows are
 judged one by one, so repeated rows and null or repeated ids need no care;
@@ -31,8 +35,10 @@ HEX = re.compile(r"[0-9a-f]+")
 KINDS = ("assign", "access", "hex", "random")
 
 #: Characters of keys and encoded secrets; shorter runs carry too little to judge.
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+SHORTEST = 20
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % SHORTEST)
+PART = re.compile(r"[A-Za-z0-9]+")
+UUID = re.compile(r"(?<![0-9A-Za-z])[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9A-Za-z])")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
 #: Pieces of this length are tokenised one by one, so a run costs linear time.
 PIECE = 256
@@ -57,30 +63,96 @@ def base_spans(text: str) -> list[Span]:
     return [(s, e, KINDS[k]) for s, k, e in sorted(found)]
 
 
-def is_known(run: str) -> bool:
-    """A digest, a UUID, or an identifier made of whole words and numbers."""
-    bare = run.strip("=-_/+")
-    if len(bare) in DIGEST_LENGTHS and re.fullmatch("[0-9a-f]+|[0-9A-F]+", bare):
-        return True
-    if UUID.fullmatch(bare):
-        return True
-    return all(p.isalpha() or p.isdigit() for p in re.split(r"[-_/=+]+", bare) if p)
+def is_digest(part: str) -> bool:
+    return len(part) in DIGEST_LENGTHS and bool(re.fullmatch("[0-9a-f]+|[0-9A-F]+", part))
+
+
+def _tokens(text: str, encoding) -> int:
+    return sum(len(encoding.encode_ordinary(text[i:i + PIECE])) for i in range(0, len(text), PIECE))
+
+
+def _surplus(part: str, encoding, max_ratio: float) -> float:
+    """By how many characters a part falls short of ``max_ratio`` for each of
+    its tokens; below 0 for readable text."""
+    if part.isdigit():
+        return 0.0
+    tokens = _tokens(part, encoding)
+    surplus = max_ratio * tokens - len(part)
+    return min(surplus, 0.0) if tokens == 1 and part.isalpha() else surplus
+
+
+def _top_segments(scores: list[float]) -> list[tuple[int, int]]:
+    """All maximal scoring runs of a list, first and last position (Ruzzo and
+    Tompa): none grows in score by more or fewer neighbours."""
+    found: list[tuple[int, int, float, float, int]] = []  # first, last, sums before and up to the last, a link
+    total = 0.0
+    for i, score in enumerate(scores):
+        if score > 0:
+            first, low = i, total
+            while True:
+                j = len(found) - 1  # the last that starts from a smaller sum; links pass by larger ones
+                while j >= 0 and found[j][2] >= low:
+                    j = found[j][4]
+                if j < 0 or found[j][3] >= total + score:
+                    break
+                first, low = found[j][0], found[j][2]
+                del found[j:]
+            found.append((first, i, low, total + score, j))
+        total += score
+    return [x[:2] for x in found]
+
+
+def _random_in(text: str, start: int, end: int, encoding, max_ratio: float) -> list[Span]:
+    """Random spans in a piece of a run that holds no base span and no UUID."""
+    whole = [m.span() for m in PART.finditer(text, start, end)]
+    digests = [s for s in whole if is_digest(text[s[0]:s[1]])]
+    if not digests:
+        named = all(text[c:d].isalpha() or text[c:d].isdigit() for c, d in whole)
+        if not named and end - start < max_ratio * _tokens(text[start:end], encoding):
+            return [(start, end, KINDS[3])]
+    out = []
+    for low, high in zip([start] + [d for _, d in digests], [c for c, _ in digests] + [end]):
+        parts = [m.span() for m in PART.finditer(text, low, high)]
+        # a short part that is no lower-case word may belong to the key beside it
+        vague = lambda c, d: d - c <= 3 and not (text[c:d].isalpha() and text[c:d].islower())
+        joined: list[list[int]] = []
+        for a, b in _top_segments([_surplus(text[c:d], encoding, max_ratio) for c, d in parts]):
+            reached = joined[-1][1] if joined else -1
+            while a - 1 > reached and vague(*parts[a - 1]):
+                a -= 1
+            b = max(b, reached)
+            while b + 1 < len(parts) and vague(*parts[b + 1]):
+                b += 1
+            if a <= reached:
+                joined[-1][1] = b
+            else:
+                joined.append([a, b])
+        for a, b in joined:
+            first, last = low if a == 0 else parts[a][0], high if b == len(parts) - 1 else parts[b][1]
+            while last < high and text[last] == "=":
+                last += 1
+            if last - first >= SHORTEST:
+                out.append((first, last, KINDS[3]))
+    return out
 
 
 def random_spans(text: str, base: list[Span], encoding, max_ratio: float) -> list[Span]:
-    """Runs outside the base spans with fewer than ``max_ratio`` characters per
-    token that are neither digests nor identifiers."""
+    """Random spans in what base spans and UUIDs leave of the runs."""
     out, taken = [], iter(base)
     near = next(taken, None)
-    reach = -1  # largest end of the base spans that start before the run ends
+    reach = -1  # largest end of the base spans seen
     for m in RUN.finditer(text):
+        cuts = [u.span() for u in UUID.finditer(text, m.start(), m.end())]
+        if reach > m.start():
+            cuts.append((m.start(), reach))
         while near is not None and near[0] < m.end():
+            cuts.append((near[0], near[1]))
             reach, near = max(reach, near[1]), next(taken, None)
-        if reach > m.start() or is_known(m[0]):
-            continue
-        tokens = sum(len(encoding.encode_ordinary(m[0][i:i + PIECE])) for i in range(0, len(m[0]), PIECE))
-        if len(m[0]) < max_ratio * tokens:
-            out.append((m.start(), m.end(), KINDS[3]))
+        at = m.start()
+        for a, b in sorted(cuts) + [(m.end(), m.end())]:
+            if min(a, m.end()) - at >= SHORTEST:
+                out += _random_in(text, at, min(a, m.end()), encoding, max_ratio)
+            at = max(at, b)
     return out
 
 
