@@ -1,16 +1,22 @@
 """Personal data: fixed patterns, and information-theoretic sanitisation of
 the terms that reveal what the patterns protect.
 
-The matches of the patterns are protected entities.  A term (a word of four or
-more letters) near an entity reveals it as far as seeing the term makes the
-entity less surprising: with document frequencies over the whole corpus, the
-entity has ``log2(N / n_entity)`` bits of information, and the term gives away
-``log2(N * n_both / (n_entity * n_term))`` of them.  A term that gives away
-``disclosure`` of the bits or more, in ``support`` documents or more, is
-reported as ``term`` wherever it stands near that entity.
-
-Terms are counted over all words of all texts, per task first; entities and
-their neighbourhoods are few.  Nothing is gathered in one place.
+The matches of the patterns are protected entities.  A term (a word of letters,
+of any length) in a text with an entity reveals it as far as seeing the term
+makes the entity less surprising: with document frequencies over whole texts and
+the whole corpus, the entity has ``log2(N / n_entity)`` bits of information, and
+the term gives away ``log2(N * n_both / (n_entity * n_term))`` of them.  A term
+that gives away ``disclosure`` of the bits or more, in ``support`` documents or
+more, is reported as ``term`` wherever it stands in a text with that entity,
+outside the matches.
+
+Terms are counted over all words of all texts, per task first.  As ``n_both`` is
+at most ``n_entity`` and ``n_term``, only terms in ``support`` to
+``N * (n_entity / N) ** disclosure`` texts can reveal an entity, so only those
+are paired with it; no pair that counts is lost.  Pairs are summed by entity and
+term, so a frequent entity is spread over its terms.  Texts without an entity
+that occurs in ``support`` texts are never shuffled.  Nothing is gathered in one
+place.
 
 Defined cases: a null text counts as empty; empty texts have no span; repeated
 rows count as documents each and get the same spans; null and repeated ids need
@@ -28,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourlake.llm.common import bounded
+from hourlake.llm.common import bounded, maybe_in, written
 from hourlake.session import cut_lineage
 
 # The patterns of the contract.
@@ -42,9 +48,7 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile("[0-9]")
 
-TERM = re.compile(r"[^\W\d_]{4,}")
-#: Terms on each side of an entity, within so many characters.
-NEAR, REACH = 5, 120
+TERM = re.compile(r"[^\W\d_]+")
 DISCLOSURE, SUPPORT = 0.9, 2
 #: Distinct terms a task holds before it passes its counts on.
 HELD = 200_000
@@ -88,55 +92,42 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def neighbours(text: str, span: Span, taken: list[Span]) -> list[tuple[str, int, int]]:
-    """Terms beside a span, lower-cased, outside all base spans."""
-    low, high = max(0, span[0] - REACH), min(len(text), span[1] + REACH)
-    before = [m.span() for m in TERM.finditer(text, low, span[0])]
-    after = [m.span() for m in TERM.finditer(text, span[1], high)]
-    whole = lambda s: not (s[0] == low > 0 and text[low - 1].isalpha()
-                           or s[1] == high < len(text) and text[high].isalpha())
-    near = [s for s in before if whole(s)][-NEAR:] + [s for s in after if whole(s)][:NEAR]
-    return [(text[a:b].lower(), a, b) for a, b in near if not any(a < d and c < b for c, d in taken)]
+def terms_outside(text: str, spans: list[Span]) -> list[tuple[str, int, int]]:
+    """The terms of a text that touch none of its base spans, lower-cased."""
+    out, order, at, reach = [], sorted(spans), 0, -1
+    for m in TERM.finditer(text):
+        while at < len(order) and order[at][0] < m.end():
+            reach, at = max(reach, order[at][1]), at + 1
+        if reach <= m.start():
+            out.append((m[0].lower(), *m.span()))
+    return out
 
 
 SPAN = "struct<kind:string,start:int,end:int>"
-NEARBY = "struct<entity:string,term:string,start:int,end:int>"
+_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
 def _scan(docs: DataFrame) -> DataFrame:
-    """``doc_id, _p_base, _p_near`` of every text."""
+    """``_p_row, doc_id, _p_hash, _p_base, _p_entities, _p_text`` of every row,
+    the text where it has an entity; written, so the rows keep their numbers."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    nearby = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
         for batch in bounded(batches, "text"):
-            base, near = [], []
+            base, entities, texts = [], [], []
             for text in batch.column("text").to_pylist():
                 spans = base_spans(text or "")
                 base.append([dict(zip(("kind", "start", "end"), s)) for s in spans])
-                order = sorted((a, b) for _, a, b in spans)
-                rows = []
-                for kind, a, b in spans:
-                    close = [s for s in order if s[1] > a - REACH and s[0] < b + REACH] if len(order) < 100 else \
-                        _close(order, a - REACH, b + REACH)
-                    rows += [{"entity": f"{kind}:{text[a:b]}", "term": t, "start": c, "end": d}
-                             for t, c, d in neighbours(text, (a, b), close)]
-                near.append(rows)
+                entities.append(sorted({f"{kind}:{text[a:b]}" for kind, a, b in spans}))
+                texts.append(text if spans else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(base, span), pa.array(near, nearby)], ["doc_id", "_p_base", "_p_near"])
-
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {id_type}, _p_base array<{SPAN}>, _p_near array<{NEARBY}>")
-
+                [batch.column("doc_id"), batch.column("_p_hash"), pa.array(base, _SPANS),
+                 pa.array(entities, pa.list_(pa.string())), pa.array(texts, pa.string())],
+                ["doc_id", "_p_hash", "_p_base", "_p_entities", "_p_text"])
 
-def _close(order: list[Span], low: int, high: int) -> list[Span]:
-    """Spans of an ordered list that may touch [low, high)."""
-    from bisect import bisect_left
-
-    longest = 400  # spans of the four kinds that are longer start further left; look back past them
-    first = bisect_left(order, (low - longest, 0))
-    return [s for s in order[first:bisect_left(order, (high, 0))] if s[1] > low]
+    scanned = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("_p_hash"), "text").mapInArrow(
+        run, f"doc_id {id_type}, _p_hash long, _p_base array<{SPAN}>, _p_entities array<string>, _p_text string")
+    return written(scanned.withColumn("_p_row", F.monotonically_increasing_id()))
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -161,32 +152,74 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
+def _texts(scanned: DataFrame, rows: DataFrame) -> DataFrame:
+    """``_p_row, _p_text, _p_base`` of the texts that may be among ``rows``."""
+    slot = F.xxhash64("_p_row").alias("_p_slot")
+    texts = scanned.where("_p_text is not null").select("_p_row", "_p_text", "_p_base", slot)
+    return maybe_in(texts, rows.select(slot), "_p_slot").drop("_p_slot")
+
+
+def _text_terms(texts: DataFrame) -> DataFrame:
+    """``_p_row, term``: the distinct terms of each text."""
+    def run(batches):
+        for batch in bounded(batches, "_p_text", 1 << 20):
+            found = [sorted({w.lower() for w in set(TERM.findall(t))}) for t in batch.column("_p_text").to_pylist()]
+            rows = batch.column("_p_row").to_numpy().repeat([len(x) for x in found])
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array([t for x in found for t in x], pa.string())], ["_p_row", "term"])
+
+    return texts.select("_p_row", "_p_text").mapInArrow(run, "_p_row long, term string")
+
+
 def revealing_terms(scanned: DataFrame, docs: DataFrame, disclosure: float = DISCLOSURE,
                     support: int = SUPPORT) -> DataFrame:
-    """``entity, term`` pairs whose term gives the entity away."""
-    total = scanned.agg(F.count("*")).first()[0]
-    pairs = scanned.select("_p_row", F.explode("_p_near").alias("x")).select("_p_row", "x.entity", "x.term").distinct()
-    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
-    entities = scanned.select("_p_row", F.explode("_p_near").alias("x")).select("_p_row", "x.entity").distinct()
-    entities = entities.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    rows = both.join(entities, "entity").join(term_counts(docs), "term")
-    bits = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    given = F.log2(F.lit(float(total)) * F.col("n_both") / (F.col("n_entity") * F.col("n")))
-    return rows.where((bits > 0) & (given >= F.lit(float(disclosure)) * bits)).select("entity", "term")
+    """``_p_row, entity, term``: the terms that give an entity away, in every
+    text that has both."""
+    total = float(scanned.count())
+    held = scanned.select("_p_row", F.explode("_p_entities").alias("entity"))
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_entity"))
+    entities = entities.where((F.col("n_entity") >= support) & (F.col("n_entity") < total))
+    held = cut_lineage(held.join(entities, "entity"))
+    # how many texts a term can be in that reveals an entity; a little more for rounding
+    most = lambda n: F.lit(total) * F.pow(n / F.lit(total), F.lit(float(disclosure))) * (1 + 1e-9)
+    bound = held.agg(F.max(most(F.col("n_entity")))).first()[0] or 0.0
+    counts = cut_lineage(term_counts(docs).where((F.col("n") >= support) & (F.col("n") <= bound)))
+    words = _text_terms(_texts(scanned, held)).withColumn("_p_slot", F.xxhash64("term"))
+    words = maybe_in(words, counts.select(F.xxhash64("term").alias("_p_slot")), "_p_slot").drop("_p_slot")
+    words = written(words.join(counts, "term"))
+    pairs = words.join(held, "_p_row").where(F.col("n") <= most(F.col("n_entity")))
+    rows = pairs.groupBy("entity", "term").agg(
+        F.count("*").alias("n_both"), F.max("n_entity").alias("n_entity"), F.max("n").alias("n")).where(F.col("n_both") >= support)
+    bits = F.log2(F.lit(total) / F.col("n_entity"))
+    given = F.log2(F.lit(total) * F.col("n_both") / (F.col("n_entity") * F.col("n")))
+    shown = cut_lineage(rows.where((bits > 0) & (given >= F.lit(float(disclosure)) * bits)).select("entity", "term"))
+    words = words.join(shown.select("term").distinct(), "term", "left_semi")
+    return words.join(held, "_p_row").join(shown, ["entity", "term"]).select("_p_row", "entity", "term")
+
+
+def _found(docs: DataFrame, **options) -> DataFrame:
+    """``doc_id, _p_hash, base, terms`` of every row."""
+    scanned = _scan(docs)
+    shown = cut_lineage(revealing_terms(scanned, docs, **options).groupBy("_p_row").agg(F.collect_set("term").alias("_p_shown")))
+
+    def run(batches):
+        for batch in bounded(batches, "_p_text"):
+            spans = []
+            for text, base, shown in zip(*(batch.column(c).to_pylist() for c in ("_p_text", "_p_base", "_p_shown"))):
+                shown = set(shown)
+                spans.append([{"kind": "term", "start": a, "end": b} for t, a, b in
+                              terms_outside(text, [(s["start"], s["end"]) for s in base]) if t in shown])
+            yield pa.RecordBatch.from_arrays([batch.column("_p_row"), pa.array(spans, _SPANS)], ["_p_row", "_p_terms"])
+
+    terms = _texts(scanned, shown).join(shown, "_p_row").mapInArrow(run, f"_p_row long, _p_terms array<{SPAN}>")
+    out = scanned.select("_p_row", "doc_id", "_p_hash", "_p_base").join(terms, "_p_row", "left")
+    return out.select("doc_id", "_p_hash", F.col("_p_base").alias("base"),
+                      F.coalesce("_p_terms", F.array().cast(f"array<{SPAN}>")).alias("terms"))
 
 
 def find_personal(docs: DataFrame, **options) -> DataFrame:
     """``doc_id, base, terms`` of every row: arrays of (kind, start, end) in
     code points, by kind as listed and start, and by start."""
-    # the rows' numbers are written with the rows, so they stay the same
-    scanned = cut_lineage(_scan(docs).withColumn("_p_row", F.monotonically_increasing_id()))
-    near = scanned.select("_p_row", F.explode("_p_near").alias("x")).select("_p_row", "x.*")
-    shown = near.join(revealing_terms(scanned, docs, **options), ["entity", "term"])
-    span = F.struct(F.lit("term").alias("kind"), "start", "end")
-    terms = shown.groupBy("_p_row").agg(F.collect_set(span).alias("_p_terms"))
-    out = scanned.join(terms, "_p_row", "left")
-    by_start = F.array_sort(F.coalesce("_p_terms", F.array().cast(f"array<{SPAN}>")), lambda a, b: a["start"] - b["start"])
-    return out.select("doc_id", F.col("_p_base").alias("base"), by_start.alias("terms"))
+    return _found(docs, **options).drop("_p_hash")
 
 
 def join_spans(spans):
@@ -206,15 +239,8 @@ def sanitise(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with entities generalised to their kind (``[EMAIL]``) and
     revealing terms removed (``[...]``); rows are matched by id and text."""
     keyed = docs.withColumn("_p_hash", F.xxhash64("doc_id", "text"))
-    scanned = cut_lineage(_scan(docs).withColumn("_p_row", F.monotonically_increasing_id()))
-    pairs = revealing_terms(scanned, docs, **options).groupBy("entity").agg(F.collect_set("term").alias("_p_shown"))
-    near = _scan(keyed.select(F.struct("doc_id", "_p_hash").alias("doc_id"), "text"))
-    near = near.select("doc_id.*", "_p_base", F.explode_outer("_p_near").alias("x")).select("doc_id", "_p_hash", "_p_base", "x.*")
-    near = near.join(pairs, "entity", "left")
-    hit = F.when(F.array_contains("_p_shown", F.col("term")), F.struct(F.lit("term").alias("kind"), "start", "end"))
-    spans = near.groupBy("doc_id", "_p_hash", "_p_base").agg(F.collect_set(hit).alias("_p_terms"))
-    spans = spans.select(F.col("doc_id").alias("_p_id"), F.col("_p_hash").alias("_p_h"),
-                         F.concat("_p_base", "_p_terms").alias("_p_spans"))
+    spans = _found(docs, **options).dropDuplicates(["doc_id", "_p_hash"])
+    spans = spans.select(F.col("doc_id").alias("_p_id"), F.col("_p_hash").alias("_p_h"), F.concat("base", "terms").alias("_p_spans"))
     rows = keyed.join(spans, (F.col("_p_hash") == F.col("_p_h")) & F.col("doc_id").eqNullSafe(F.col("_p_id")), "left")
     names = docs.columns
 
