@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlake.llm import bpe, jaccard, mixing, pii, quality, secrets, sharding, substring, topk, urls
+from hourlake.llm import bpe, codes, infill, jaccard, mixing, pii, quality, secrets, sharding, substring, tokenfile, topk, urls
 from hourlake.llm.common import share_package
 
 
@@ -68,9 +68,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup_substrings(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as token files and read back."""
+    return tokenfile.token_report(_table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of every vector by codebooks of four rounds."""
+    return codes.code_report(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut into prefix, middle and suffix and rebuilt."""
+    return infill.infill_report(_table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_topk_search, op2_byte_bpe, op3_quality_rules, op4_secret_scans, op5_jaccard_join, op6_source_mixing, op7_url_filters, op8_sharding,
-    op9_personal_data, op10_substring_dedup)}
+    op9_personal_data, op10_substring_dedup, op11_token_files, op12_vector_codes, op13_fill_in_middle)}
 
 # Poisson terms cumulated in the same order as the operator's table.
 OP6_SQL = """
@@ -106,4 +121,53 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM s QUALIFY rank <= 20
 """
 
-LLM_ORACLE = {"op1_topk_search": OP1_SQL, "op6_source_mixing": OP6_SQL}
+OP13_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+t AS (SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS tokens,
+             [('0x' || h[8 * i + 1:8 * i + 8])::BIGINT FOR i IN range(4)] AS h FROM d),
+k AS (SELECT *, len(tokens) AS n, least(h[1] % (len(tokens) + 1), h[2] % (len(tokens) + 1)) AS a,
+             greatest(h[1] % (len(tokens) + 1), h[2] % (len(tokens) + 1)) AS b FROM t),
+p AS (SELECT doc_id, text, n, array_to_string(tokens[1:a], '') AS prefix, array_to_string(tokens[a + 1:b], '') AS middle,
+             array_to_string(tokens[b + 1:n], '') AS suffix,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90
+                  THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+def _op12_sql(rounds: int = 4) -> str:
+    """Lloyd's rounds, unrolled; parts are (row, position, components)."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (SELECT p.rid, p.pos, p.x, arg_min(b.entry, (b.d, b.entry)) AS entry, min(b.d) AS d
+  FROM (SELECT p.rid, p.pos, b.entry,
+               list_sum(list_transform(range(1, len(p.x) + 1), lambda i: (p.x[i] - b.c[i]) * (p.x[i] - b.c[i])))::BIGINT AS d
+        FROM parts p JOIN b{r} b ON p.pos = b.pos) b JOIN parts p ON p.rid = b.rid AND p.pos = b.pos GROUP BY p.rid, p.pos, p.x)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} AS (SELECT pos, entry, i, floor(sum(x[i]) / count(*)::DOUBLE)::BIGINT AS c
+  FROM (SELECT pos, entry, x, unnest(range(1, len(x) + 1)) AS i FROM a{r}) GROUP BY pos, entry, i),
+b{r + 1} AS MATERIALIZED (SELECT b.pos, b.entry, coalesce(n.c, b.c) AS c FROM b{r} b LEFT JOIN
+  (SELECT pos, entry, list(c ORDER BY i) AS c FROM s{r} GROUP BY pos, entry) n ON n.pos = b.pos AND n.entry = b.entry)""")
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+    list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT rid, pos, e[(len(e) // 4) * pos + 1:(len(e) // 4) * (pos + 1)] AS x
+  FROM kept, (SELECT unnest(range(4)) AS pos)),
+b0 AS MATERIALIZED (SELECT pos, rid - 1 AS entry, x AS c FROM parts WHERE rid <= 256),{",".join(steps)},
+books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY pos, entry)) AS codebooks_sha256 FROM b{rounds}),
+coded AS (SELECT k.vec_id, k.label, string_agg(printf('%02x', a.entry), '' ORDER BY a.pos) AS code, sum(a.d)::BIGINT AS error
+  FROM a{rounds} a JOIN kept k ON k.rid = a.rid GROUP BY k.rid, k.vec_id, k.label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded, books
+"""
+
+
+LLM_ORACLE = {"op1_topk_search": OP1_SQL, "op6_source_mixing": OP6_SQL, "op12_vector_codes": _op12_sql(), "op13_fill_in_middle": OP13_SQL}
