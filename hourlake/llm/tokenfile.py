@@ -20,26 +20,30 @@ File format: a folder with two Parquet tables.
 
 Texts are encoded by the tokenizers library.  It drops white space and no token
 spans it, so a text's ids are those of its words, one after the other; each
-worker asks the library once for a word and keeps the answer (``KEPT`` bytes, then
-it starts anew).  Text is parted at space, tab and line feed only: other white
+worker asks the library once for a word and keeps the answer, up to ``KEPT``
+bytes.  Text is parted at space, tab and line feed only: other white
 space is left to the library.
 
 Defined cases: a null text is empty and has the end id only; null ids come
 first; rows that share an id are ordered by their ids' hash, equal rows stand
 beside each other in any order; an empty table gives an empty folder and no
 rows; other columns of the input, whatever their names, are not read.  A long
-text is held whole by one task, as one string and its ids.  What the driver
+text is held whole by one task, as one string and its ids, and encoded part by
+part.  What the driver
 holds is bounded by the vocabulary.  No group of rows is put together: equal
 ids are split over ranges by hash and row.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,7 +53,7 @@ from hourlake.llm.common import bounded, written
 from hourlake.session import ensure_checkpoint_dir
 
 #: Longest code, ids in a block, ids between checkpoints, bytes of kept words.
-LONGEST, BLOCK, EVERY, KEPT = 18, 1 << 16, 64, 64 << 20
+LONGEST, BLOCK, EVERY, KEPT = 18, 1 << 16, 64, 160 << 20
 PART = 2 << 20
 
 
@@ -62,7 +66,7 @@ def _path(path: str | None) -> str:
 
 
 class WordEncoder:
-    """Ids of texts as bytes of little-endian integers, by the library."""
+    """Ids of texts by the library, which gets each new word once."""
 
     def __init__(self, path: str, end_id: int, kept: int = KEPT):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -70,19 +74,104 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = id_type(max(self.tokenizer.get_vocab_size(), end_id + 1))
-        self.end = np.array([end_id], self.kind).tobytes()
-        self.limit, self.size, self.known = kept, 0, {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        if self.size > self.limit:
-            self.size, self.known = 0, {}
-        new = list(set().union(*words).difference(self.known))
-        for word, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            ids = np.array(coded.ids, self.kind).tobytes()
-            self.known[word] = ids
-            self.size += len(ids) + len(word) + 150
-        return [b"".join(map(self.known.__getitem__, row)) + self.end for row in words]
+        self.end, self.limit, self.size, self.known = end_id, kept, 0, {"": b""}
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.plain = Tokenizer.from_str(json.dumps(json.loads(self.tokenizer.to_str()) | {
+            "normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+                {"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}}))
+
+    def _joined(self, tokenizer, words: list[str]):
+        """Ids of words that don't hold the mark: the tokenizer gets many at
+        once, with marks between them."""
+        for k in range(0, len(words), JOINED):
+            some = words[k:k + JOINED]
+            text = f" {MARK} ".join(some) + f" {MARK}"
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+            raw, width, start = ids.tobytes(), ids.itemsize, 0
+            for word, stop in zip(some, (np.flatnonzero(ids == self.mark) * width).tolist()):
+                yield word, raw[start:stop]
+                start = stop + width
+
+    def _each(self, words: list[str]):
+        for word, coded in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
+            yield word, np.array(coded.ids, self.kind).tobytes()
+
+    def _new(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that aren't kept."""
+        if self.mark is None:
+            return dict(self._each(words))
+        cut, letters, other, marked = {}, set(), set(), []
+        for word in words:
+            low = word.lower() if word.isascii() and "<|" not in word else word
+            stem, stop = (low[:-1], low[-1]) if low[-1] in STOPS else (low, "")
+            if stem.isalpha() and stem.islower() and max(stem) < LETTERS:
+                letters.add(stem)
+                cut[word] = (stem, stop)
+            elif MARK in word:
+                marked.append(word)
+            else:
+                other.add(word)
+        ids = {stem: self.known[stem] for stem in letters if stem in self.known}
+        ids.update(self._joined(self.plain, list(letters.difference(ids))))
+        stops = dict(self._each(sorted(STOPS)))
+        stops[""] = b""
+        out = {word: ids[stem] + stops[stop] for word, (stem, stop) in cut.items()}
+        out.update(self._joined(self.tokenizer, list(other)))
+        out.update(self._each(marked))
+        return ids | out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, each followed by the end id, end to end, and their
+        offsets."""
+        parted = pc.split_pattern(pc.replace_substring(pc.replace_substring(texts, "\n", " "), "\t", " "), " ")
+        words = parted.flatten().dictionary_encode()
+        names = words.dictionary.to_pylist()
+        found = [self.known.get(w) for w in names]
+        fresh = self._new([w for w, ids in zip(names, found) if ids is None])
+        found = [fresh[w] if ids is None else ids for w, ids in zip(names, found)]
+        if self.size < self.limit:  # then it keeps what it has: frequent words come early
+            self.known.update(fresh)
+            self.size += sum(map(len, fresh)) + sum(map(len, fresh.values())) + 180 * len(fresh)
+        pool, width = np.frombuffer(b"".join(found), self.kind), np.dtype(self.kind).itemsize
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // width
+        begins = np.cumsum(sizes) - sizes
+        word = words.indices.to_numpy()
+        sizes, begins = sizes[word], begins[word]
+        ends = np.cumsum(sizes)
+        ids = pool[np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        last = np.concatenate([[0], ends])[parted.offsets.to_numpy()[1:] - parted.offsets[0].as_py()]
+        offsets = np.concatenate([[0], last + np.arange(1, len(texts) + 1)])
+        out = np.empty(offsets[-1], self.kind)
+        text_end = np.zeros(len(out), bool)
+        text_end[offsets[1:] - 1] = True
+        out[text_end], out[~text_end] = self.end, ids
+        return out, offsets
+
+    def encode_long(self, text: str) -> np.ndarray:
+        """Ids of one long text, a part of about ``PART`` characters at a time,
+        cut behind a space."""
+        out, start = [], 0
+        while start < len(text):
+            stop = text.find(" ", start + PART) + 1 or len(text)
+            out.append(self.encode(pa.array([text[start:stop]], pa.large_string()))[0][:-1])
+            start = stop
+        return np.concatenate([*out, np.array([self.end], self.kind)])
+
+
+#: Put between words: one token, that no word without this character has, and
+#: that no other character is normalised to.
+MARK, JOINED = "~", 1000
+#: Words of small letters below this, which normalising leaves as they are and
+#: every version of Unicode calls letters, and a stop behind them are tokens of
+#: their own: these words need no normalising.
+STOPS, LETTERS = frozenset(".,;:!?"), "\u0250"
+
+
+@lru_cache(maxsize=2)
+def shared_encoder(path: str, end_id: int) -> WordEncoder:
+    """A worker's encoder, with the words it met in earlier tasks."""
+    return WordEncoder(path, end_id)
 
 
 def id_type(size: int) -> str:
@@ -90,14 +179,31 @@ def id_type(size: int) -> str:
 
 
 def tokenised(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """``doc_id, ids`` (bytes) of every row."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("ids", T.BinaryType())])
+    """``doc_id, ids`` (bytes) of every row, and from each task, in rows without
+    ``ids``, how often it met each id: ``counts``, pairs of 64-bit integers."""
+    schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("ids", T.BinaryType()),
+                           T.StructField("counts", T.BinaryType())])
 
     def run(batches):
-        encoder = WordEncoder(path, end_id)
+        encoder, total, kind = shared_encoder(path, end_id), np.zeros(0, np.int64), None
         for batch in bounded(batches, "text", PART):
-            ids = encoder.encode([t or "" for t in batch.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary())], schema.names)
+            kind = batch.column("doc_id").type
+            texts = batch.column("text").fill_null("")
+            if batch.num_rows == 1 and len(texts[0].as_py()) > PART:
+                ids = encoder.encode_long(texts[0].as_py())
+                offsets = np.array([0, len(ids)])
+            else:
+                ids, offsets = encoder.encode(texts)
+            n = np.bincount(ids, minlength=len(total))
+            n[:len(total)] += total
+            total = n
+            column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), batch.num_rows, [
+                None, pa.py_buffer((offsets * ids.itemsize).astype(np.int64)), pa.py_buffer(ids)])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), column.cast(pa.binary()), pa.nulls(batch.num_rows, pa.binary())], schema.names)
+        if kind is not None:
+            met = np.flatnonzero(total)
+            pairs = np.stack([met, total[met]], axis=1).astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, kind), pa.nulls(1, pa.binary()), pa.array([pairs], pa.binary())], schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
@@ -115,19 +221,16 @@ def flat(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
         (offsets - offsets[0]) // width
 
 
-def id_counts(coded: DataFrame, kind: str) -> DataFrame:
-    """``id, n`` over all rows: each task hands on one row for each id it met."""
+def id_counts(coded: DataFrame) -> DataFrame:
+    """``id, n`` over all rows, from what the tasks counted."""
 
     def run(batches):
-        total = np.zeros(0, np.int64)
         for batch in batches:
-            n = np.bincount(flat(batch.column("ids"), kind)[0], minlength=len(total))
-            n[:len(total)] += total
-            total = n
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], ["id", "n"])
+            for pairs in batch.column("counts"):
+                ids, n = np.frombuffer(pairs.as_buffer(), "<i8").reshape(-1, 2).T
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], ["id", "n"])
 
-    rows = coded.select("ids").mapInArrow(run, "id long, n long")
+    rows = coded.where("counts IS NOT NULL").select("counts").mapInArrow(run, "id long, n long")
     return rows.groupBy("id").agg(F.sum("n").alias("n"))
 
 
@@ -233,7 +336,7 @@ def _blocks(batches, book: Codebook, kind: str, block: int, every: int, schema:
             n = min(block, stop - done)
             bits, checkpoints = book.encode(pending[:n], every)
             last = int(np.searchsorted(starts, done + n))
-            rows.append([part, done // block, n, bits, checkpoints, names[:last], range(number, number + last), starts[:last], lengths[:last]])
+            rows.append([part, done // block, n, bits, checkpoints, names[:last], np.arange(number, number + last), starts[:last], lengths[:last]])
             pending, done = pending[n:], done + n
             gone = int(np.searchsorted(starts + lengths, done, side="right"))
             names, starts, lengths, number = names[gone:], starts[gone:], lengths[gone:], number + gone
@@ -274,7 +377,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
     kind = id_type(max(Tokenizer.from_file(path).get_vocab_size(), end_id + 1))
     coded = tokenised(docs, path, end_id)
     coded = written(coded.withColumn("_hash", F.xxhash64("ids")).withColumn("_row", F.monotonically_increasing_id()))
-    counts = id_counts(coded, kind).collect()  # a row for each id of the vocabulary at most
+    counts = id_counts(coded).collect()  # a row for each id of the vocabulary at most
     ids, n = (np.array([r[i] for r in counts], np.int64) for i in (0, 1))
     lengths = code_lengths(n, longest)
     book = [(int(a), int(b)) for a, b in zip(ids, lengths)]
@@ -285,20 +388,23 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
         return _blocks(batches, Codebook(ids, lengths), kind, block, every, schema)
 
     keys = ["doc_id", "_hash", "_row"]
-    ordered = coded.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "ids")
+    ordered = coded.where("ids IS NOT NULL").drop("counts").repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "ids")
     ordered.mapInArrow(run, schema).write.parquet(f"{folder}/blocks")
     return folder
 
 
-def _pieces(batches, book: Codebook, every: int, group: int = 16):
-    """Per block, its decoded ids and the columns of its documents."""
-    for batch in batches:
-        for first in range(0, batch.num_rows, group):
-            rows = batch.slice(first, group).to_pylist()
-            decoded = book.decode([(r["bits"], np.array(r["checkpoints"], np.int64), r["n_ids"]) for r in rows], every)
-            for row, ids in zip(rows, decoded):
-                begin = row["starts"][0] if row["starts"] else 0
-                yield row, ids, begin
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    """The rows of a list column of integers."""
+    values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def _pieces(batch: pa.RecordBatch, book: Codebook, every: int, group: int = 16):
+    """Of each block of a batch its decoded ids, and the batch's row."""
+    bits, checkpoints, sizes = batch.column("bits").to_pylist(), _lists(batch.column("checkpoints")), batch.column("n_ids").to_pylist()
+    for first in range(0, batch.num_rows, group):
+        rows = range(first, min(first + group, batch.num_rows))
+        yield from zip(rows, book.decode([(bits[i], checkpoints[i], sizes[i]) for i in rows], every))
 
 
 def _book(spark: SparkSession, folder: str) -> tuple[np.ndarray, np.ndarray]:
@@ -320,18 +426,18 @@ def _decoded(spark: SparkSession, folder: str, value: str, kind: T.DataType, of,
     def run(batches):
         book = Codebook(ids, lengths)
         for batch in batches:
-            names = batch.column("doc_ids").type.value_type
-            for row, decoded, _ in _pieces([batch], book, every):
-                begin = row["block"] * block
-                starts, sizes = np.array(row["starts"], np.int64), np.array(row["lengths"], np.int64)
-                low = np.maximum(starts, begin)
-                high = np.minimum(starts + sizes, begin + row["n_ids"])
+            names = batch.column("doc_ids").values
+            ends = batch.column("doc_ids").offsets.to_pylist()
+            docs, starts, sizes = (_lists(batch.column(c)) for c in ("docs", "starts", "lengths"))
+            part, number, held = (batch.column(c).to_pylist() for c in ("part", "block", "n_ids"))
+            for i, decoded in _pieces(batch, book, every):
+                begin = number[i] * block
+                low, high = np.maximum(starts[i], begin), np.minimum(starts[i] + sizes[i], begin + held[i])
                 values = [of(decoded[a:b], after) for a, b, after in
-                          zip((low - begin).tolist(), (high - begin).tolist(), (starts + sizes - high).tolist())]
-                n = len(starts)
+                          zip((low - begin).tolist(), (high - begin).tolist(), (starts[i] + sizes[i] - high).tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["part"]] * n, pa.int32()), pa.array(row["docs"], pa.int64()), pa.array(row["doc_ids"], names),
-                     pa.array(starts), pa.array(sizes), pa.array(low - starts), pa.array(values, _VALUE[value])], schema.names)
+                    [pa.array(np.full(len(low), part[i], np.int32)), pa.array(docs[i]), names.slice(ends[i], ends[i + 1] - ends[i]),
+                     pa.array(starts[i]), pa.array(sizes[i]), pa.array(low - starts[i]), pa.array(values, _VALUE[value])], schema.names)
 
     return blocks.mapInArrow(run, schema)
 

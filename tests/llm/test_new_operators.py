@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from llm_rows import rows_of
 from tokenizers import Tokenizer
@@ -35,13 +36,22 @@ def encoded(library, text):
 
 def test_words_encode_as_whole_texts(library):
     rng = random.Random(3)
-    letters = "abIßſKé'strel  \n\t\r\x0b\x1c\x85\xa0　̸́١２3.!中文😀Σς<|>"
+    letters = "ab~.,?;IßſKé'strel  \n\t\r\x0b\x1c\x85\xa0　̸́١２3.!中文😀Σς<|>"
     texts = ["", " ", "\n\n", "it's we'll I'D", "<|endoftext|>a <|startoftext|>", "é ́e", "Ὀδυσσεύς ΣΑΣ", "a" * 3000, "中" * 500]
     texts += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(3000)]
+    texts += ["Word. word, WORD! Éa? éa. ~ a~b ~~ x ~.", "word.. word). word", "Σ. ΑΣ, aǅ. ªb. ŉ, ʼn."]
     encoder = tokenfile.WordEncoder(public_tokenizers.path("word_bpe_49k.json"), 1, kept=2000)
     for low in range(0, len(texts), 500):
         some = texts[low:low + 500]
-        assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(some)] == [encoded(library, t) for t in some]
+        ids, offsets = encoder.encode(pa.array(["", *some])[1:])  # a slice
+        assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:])] == [encoded(library, t) for t in some]
+
+
+def test_long_texts_are_encoded_in_parts(library, monkeypatch):
+    monkeypatch.setattr(tokenfile, "PART", 50)
+    encoder = tokenfile.WordEncoder(public_tokenizers.path("word_bpe_49k.json"), 1)
+    for text in ("some words of Text. " * 40, "x" * 300, "a b\n" * 100 + "longlonglong" * 9, " " * 120):
+        assert encoder.encode_long(text).tolist() == encoded(library, text)
 
 
 def huffman_total(counts):
