@@ -38,6 +38,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import uuid
 from functools import lru_cache
 
@@ -53,8 +54,8 @@ from hourlake.llm.common import bounded, written
 from hourlake.session import ensure_checkpoint_dir
 
 #: Longest code, ids in a block, ids between checkpoints, bytes of kept words.
-LONGEST, BLOCK, EVERY, KEPT = 18, 1 << 16, 64, 160 << 20
-PART = 2 << 20
+LONGEST, BLOCK, EVERY, KEPT = 18, 1 << 16, 64, 128 << 20
+PART = 4 << 20
 
 
 def _path(path: str | None) -> str:
@@ -103,11 +104,9 @@ class WordEncoder:
             return dict(self._each(words))
         cut, letters, other, marked = {}, set(), set(), []
         for word in words:
-            low = word.lower() if word.isascii() and "<|" not in word else word
-            stem, stop = (low[:-1], low[-1]) if low[-1] in STOPS else (low, "")
-            if stem.isalpha() and stem.islower() and max(stem) < LETTERS:
+            if plain := PLAIN(word.lower()):
+                cut[word] = stem, _ = plain.groups()
                 letters.add(stem)
-                cut[word] = (stem, stop)
             elif MARK in word:
                 marked.append(word)
             else:
@@ -134,12 +133,12 @@ class WordEncoder:
             self.known.update(fresh)
             self.size += sum(map(len, fresh)) + sum(map(len, fresh.values())) + 180 * len(fresh)
         pool, width = np.frombuffer(b"".join(found), self.kind), np.dtype(self.kind).itemsize
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // width
-        begins = np.cumsum(sizes) - sizes
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // width
+        begins = np.cumsum(sizes, dtype=np.int32) - sizes
         word = words.indices.to_numpy()
         sizes, begins = sizes[word], begins[word]
-        ends = np.cumsum(sizes)
-        ids = pool[np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = np.cumsum(sizes, dtype=np.int32)  # texts of a batch have fewer ids than 2^31
+        ids = pool[np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)]
         last = np.concatenate([[0], ends])[parted.offsets.to_numpy()[1:] - parted.offsets[0].as_py()]
         offsets = np.concatenate([[0], last + np.arange(1, len(texts) + 1)])
         out = np.empty(offsets[-1], self.kind)
@@ -162,10 +161,11 @@ class WordEncoder:
 #: Put between words: one token, that no word without this character has, and
 #: that no other character is normalised to.
 MARK, JOINED = "~", 1000
-#: Words of small letters below this, which normalising leaves as they are and
-#: every version of Unicode calls letters, and a stop behind them are tokens of
-#: their own: these words need no normalising.
-STOPS, LETTERS = frozenset(".,;:!?"), "\u0250"
+#: Words that are, in small letters, of letters below this and perhaps a stop
+#: behind them: normalising leaves them as they are, every version of Unicode
+#: calls them letters, and both parts are tokens of their own.
+STOPS, LETTERS = ".,;:!?", 0x250
+PLAIN = re.compile("([{}]+)([{}]?)".format("".join(c for c in map(chr, range(LETTERS)) if c.isalpha() and c.islower()), STOPS)).fullmatch
 
 
 @lru_cache(maxsize=2)
@@ -273,10 +273,9 @@ class Codebook:
         size = int(self.ids.max(initial=-1)) + 1
         self.code, self.length = np.zeros(size, np.uint64), np.zeros(size, np.int64)
         self.code[self.ids], self.length[self.ids] = codes.astype(np.uint64), self.lengths
-        self.symbol_at = np.zeros(1 << self.longest, np.uint32)
-        self.length_at = np.ones(1 << self.longest, np.int64)
-        self.symbol_at[:room.sum()] = np.repeat(self.ids, room)
-        self.length_at[:room.sum()] = np.repeat(self.lengths, room)
+        # what a window starts with: a symbol, and below it the length of its code
+        self.entry = np.ones(1 << self.longest, np.int64)
+        self.entry[:room.sum()] = np.repeat(self.ids << 5 | self.lengths, room)
 
     def encode(self, ids: np.ndarray, every: int) -> tuple[bytes, np.ndarray]:
         """Bits of ids, and the bit offset of each ``every``-th of them."""
@@ -295,16 +294,17 @@ class Codebook:
     def decode(self, blocks: list[tuple[bytes, np.ndarray, int]], every: int) -> list[np.ndarray]:
         """Ids of blocks of (bits, checkpoints, number of ids), all checkpoints
         side by side."""
-        raw = np.frombuffer(b"".join(bits for bits, _, _ in blocks) + b"\0" * 8, np.uint8).astype(np.uint32)
+        # the last checkpoint of a block may read past its end: every step 25 bits at most
+        raw = np.frombuffer(b"".join(bits for bits, _, _ in blocks) + b"\0" * (4 * every + 8), np.uint8).astype(np.uint32)
         window = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
         base = np.cumsum([0, *(len(bits) for bits, _, _ in blocks)]) * 8
         at = np.concatenate([b + c for b, (_, c, _) in zip(base, blocks)]).astype(np.int64)
-        out, last = np.empty((len(at), every), np.uint32), (len(window) - 1) * 8
-        mask = (1 << self.longest) - 1
+        out, above, mask = np.empty((every, len(at)), np.uint32), 32 - self.longest, (1 << self.longest) - 1
         for step in range(every):
-            code = window[at >> 3] >> (32 - self.longest - (at & 7)) & mask
-            out[:, step] = self.symbol_at[code]
-            at = np.minimum(at + self.length_at[code], last)
+            entry = self.entry[window[at >> 3] >> (above - (at & 7)) & mask]
+            out[step] = entry >> 5
+            at += entry & 31
+        out = out.T
         rows, lane = [], 0
         for _, checkpoints, n in blocks:
             rows.append(out[lane:lane + len(checkpoints)].reshape(-1)[:n])
