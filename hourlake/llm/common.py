@@ -96,16 +96,17 @@ class Rolling:
         table = random.integers(0, 1 << 64, 256, np.uint64)
         self.base = base = int(random.integers(0, 1 << 64, dtype=np.uint64)) | 1
         with np.errstate(over="ignore"):
-            up = self._powers(base, len(data) + 1)
-            self.down = self._powers(pow(base, -1, 1 << 64), len(data) + 1)
             self.sums = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum(table[data] * up[:-1], out=self.sums[1:])
+            self.sums[1:] = table[data]
+            self.sums[1:] *= self._powers(base, len(data) + 1)[:-1]
+            np.cumsum(self.sums, out=self.sums)
+            self.down = self._powers(pow(base, -1, 1 << 64), len(data) + 1)
 
     @staticmethod
     def _powers(base: int, n: int) -> np.ndarray:
         out = np.full(n, base & ((1 << 64) - 1), np.uint64)
         out[0] = 1
-        return np.cumprod(out, dtype=np.uint64)
+        return np.cumprod(out, out=out)
 
     def values(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         """Polynomials of slices; ``joined`` makes that of two neighbours."""

@@ -53,6 +53,8 @@ ORDER_BUCKETS = 1 << 20
 SEEN = 200_000
 #: A star pair meets in one of so many of the larger set's lists.
 STAR_PART = 4
+#: Bytes of text whose shingles are made at once: they take forty times that.
+PART = 1 << 20
 #: Stands for a null id; larger than any other.
 NULL_ID = (1 << 63) - 1
 
@@ -117,7 +119,7 @@ def document_sets(docs: DataFrame) -> DataFrame:
     """``id, key, name, n``: the name and size of every document's set; ``key``
     is a hash of the row."""
     def run(batches):
-        for batch in bounded(batches, "text"):
+        for batch in bounded(batches, "text", PART):
             text, items = shingles(batch.column("text"))
             n = np.bincount(text, minlength=batch.num_rows)
             yield pa.RecordBatch.from_arrays(
@@ -132,7 +134,7 @@ def shingle_order(docs: DataFrame, buckets: int = ORDER_BUCKETS) -> np.ndarray:
     rounded logarithm of their count over all documents (in quarter steps)."""
     def run(batches):
         counts = np.zeros(buckets, np.int64)
-        for batch in bounded(batches, "text"):
+        for batch in bounded(batches, "text", PART):
             items = shingles(batch.column("text"))[1]
             counts += np.bincount(items & (buckets - 1), minlength=buckets)
         full = np.flatnonzero(counts)
@@ -160,7 +162,7 @@ def index_lists(docs: DataFrame, level: np.ndarray) -> DataFrame:
 
     def run(batches):
         level, seen = spread.value, set()
-        for batch in bounded(batches, "text", 4 << 20):
+        for batch in bounded(batches, "text", PART):
             text, items = shingles(batch.column("text"))
             name = set_names(text, items, batch.num_rows)
             n = np.bincount(text, minlength=batch.num_rows)
@@ -200,8 +202,8 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     both = pairs.join(of("b"), ["b_id", "b_key"]).join(of("a"), ["a_id", "a_key"])
 
     def run(batches):
-        for batch in bounded(batches, "a_text", 2 << 20):
-            for part in bounded([batch], "b_text", 2 << 20):
+        for batch in bounded(batches, "a_text", PART):
+            for part in bounded([batch], "b_text", PART):
                 (text, items), (text2, items2) = shingles(part.column("a_text")), shingles(part.column("b_text"))
                 n, n2 = (np.bincount(t, minlength=part.num_rows) for t in (text, text2))
                 every, row = np.concatenate([items, items2]), np.concatenate([text, text2])
