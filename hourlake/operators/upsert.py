@@ -28,13 +28,14 @@ def require_unique(source: DataFrame, keys) -> DataFrame:
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys, update_cols, load_ts, batch_id,
                  inserted_col: str = "inserted_at", modified_col: str = "modified_at",
-                 batch_col: str = "batch_id", insert_only_cols=()) -> DataFrame:
+                 batch_col: str = "batch_id", insert_only_cols=(), action_col: str | None = None) -> DataFrame:
     """Matched rows take the source's ``update_cols``, the load time as
     modification time and the load batch; unmatched source rows are inserted
     with both audit times set to the load time; target rows the source does
     not touch pass unchanged.  Other source columns (and
     ``insert_only_cols``) come from the source on insert and are kept from
-    the target on update."""
+    the target on update.  ``action_col`` adds what was done with the row:
+    ``inserted``, ``updated`` or ``kept``."""
     keys = list(keys)
     load_ts = F.lit(load_ts).cast("timestamp_ntz") if isinstance(load_ts, str) else load_ts
     batch = F.lit(batch_id) if isinstance(batch_id, str) else batch_id
@@ -64,6 +65,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys, update_cols, load_t
             out.append(F.when(in_t, F.col(f"_t_{c}")).otherwise(F.col(f"_s_{c}")).alias(c))
         else:
             out.append(F.col(f"_t_{c}").alias(c))
+    if action_col:
+        out.append(F.when(~in_t, F.lit("inserted")).when(in_s, F.lit("updated")).otherwise(F.lit("kept")).alias(action_col))
     return j.select(*out)
 
 
