@@ -4,10 +4,8 @@ Each statistic is one aggregation pass with partial aggregation; results
 with one row per column are produced by unpivoting the one-row aggregate
 (``stack``), never by looping over columns with one job each.
 
-Exact quantiles use Spark's ``percentile``: its per-task buffer is a map
-value -> count, so memory follows the number of *distinct* values of the
-column in a group (bounded by the sensor resolution for hourly metrics),
-not the number of rows.
+Exact quantiles come from ranks over range partitioned value counts
+(``operators/quantiles.py``): no task holds the values of a column or group.
 """
 
 from __future__ import annotations
@@ -18,12 +16,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourlake.functions import columns as X
+from hourlake.operators import quantiles as Q
+from hourlake.session import cut_lineage
 
 # ---- fixed values ---------------------------------------------------------
 HIST_BINS = 30
 IQR_FACTOR = 1.5
 WINSOR_LIMIT = 0.01
 QUARTILES = (0.25, 0.5, 0.75)
+# Range of the random keys that rows draw.
+KEY_RANGE = 1 << 52
 
 
 def ratio(part, total, scale: int = 6) -> F.Column:
@@ -44,14 +46,14 @@ def _unpivot(one_row: DataFrame, names, stats) -> DataFrame:
 
 
 def describe(df: DataFrame, cols, digits: int = 6, decimal_scale: int | None = None) -> DataFrame:
-    """Count, mean, median, std, min, Q1, Q3, max, sum per column.
+    """Count, mean, median, std, min, Q1, Q3, max, sum per column; the
+    quartiles come from ranks (``quantiles``), the rest is one aggregation.
 
     With ``decimal_scale`` (values known to that many decimals, e.g. prices
     in cents) mean and sum are exact decimal aggregates."""
     aggs = []
     for c_ in cols:
         x = F.col(c_).cast("double")
-        q = F.percentile(x, F.array(*[F.lit(p) for p in QUARTILES]))
         if decimal_scale is not None:
             d = F.col(c_).cast(f"decimal(18,{decimal_scale})")
             mean, total = X.decimal_mean(d, digits), F.sum(d).cast("double")
@@ -61,13 +63,11 @@ def describe(df: DataFrame, cols, digits: int = 6, decimal_scale: int | None = N
                  mean.alias(f"{c_}__mean"),
                  F.round(F.stddev_samp(x), digits).alias(f"{c_}__std"),
                  F.min(x).alias(f"{c_}__min"), F.max(x).alias(f"{c_}__max"),
-                 total.alias(f"{c_}__sum"),
-                 q.alias(f"{c_}__q")]
-    one = df.agg(*aggs)
-    one = one.select(*[F.col(n) for n in one.columns if not n.endswith("__q")],
-                     *[F.round(F.col(f"{c_}__q")[i], digits).alias(f"{c_}__{s}")
-                       for c_ in cols for i, s in enumerate(("q1", "median", "q3"))])
-    return _unpivot(one, cols, ("count", "mean", "median", "std", "min", "q1", "q3", "max", "sum"))
+                 total.alias(f"{c_}__sum")]
+    stats = _unpivot(df.agg(*aggs), cols, ("count", "mean", "std", "min", "max", "sum"))
+    names = ("q1", "median", "q3")
+    ranks = Q.quantiles(df, cols, dict(zip(names, QUARTILES))).select("column", *[F.round(n, digits).alias(n) for n in names])
+    return stats.join(ranks, "column", "left").select("column", "count", "mean", "median", "std", "min", "q1", "q3", "max", "sum")
 
 
 def null_rates(df: DataFrame, cols, scale: int = 6) -> DataFrame:
@@ -105,88 +105,57 @@ def frequencies(df: DataFrame, dims: dict) -> DataFrame:
 
 def histogram(df: DataFrame, cols, bins: int = HIST_BINS) -> DataFrame:
     """Equal-width bins between min and max (max folded into the last
-    bin).  min/max are scalar subqueries; the binning and counting is one
+    bin; a constant column has one).  Least and greatest values of all columns
+    are one row, read by scalar subqueries; binning and counting is one
     aggregation over (column, bin)."""
-    parts = []
-    for c_ in cols:
-        x = F.col(c_).cast("double")
-        mm = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-        lo, hi = mm.select("lo").scalar(), mm.select("hi").scalar()
-        # a constant column has one bin
-        b = F.when(hi > lo, F.least(F.floor((x - lo) / (hi - lo) * bins) + 1, F.lit(bins))).otherwise(F.lit(1))
-        parts.append(df.filter(x.isNotNull()).select(F.lit(c_).alias("column"), b.cast("int").alias("bin"),
-                                                       lo.alias("lo"), hi.alias("hi")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    a = u.groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"), F.first("lo").alias("lo"),
-                                       F.first("hi").alias("hi"))
+    xs = {c_: F.col(c_).cast("double") for c_ in cols}
+    ends = cut_lineage(df.agg(*[f(x).alias(f"{c_}__{n}") for c_, x in xs.items() for n, f in (("lo", F.min), ("hi", F.max))]))
+    bounds = {c_: [ends.select(f"{c_}__{n}").scalar() for n in ("lo", "hi")] for c_ in cols}
+    cells = F.array(*[F.struct(F.lit(c_).alias("column"), x.alias("x"), bounds[c_][0].alias("lo"), bounds[c_][1].alias("hi"))
+                      for c_, x in xs.items()])
+    u = df.select(F.inline(cells)).filter(F.col("x").isNotNull())
+    place = F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins) + 1, F.lit(bins))
+    b = F.when(F.col("hi") > F.col("lo"), place).otherwise(F.lit(1)).cast("int")
+    a = u.groupBy("column", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.first("lo").alias("lo"), F.first("hi").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
     return a.select("column", "bin", F.round(F.col("lo") + (F.col("bin") - 1) * width, 6).alias("bin_start"),
                     F.round(F.col("lo") + F.col("bin") * width, 6).alias("bin_end"), "n")
 
 
 def box_summary(df: DataFrame, key: str, col: str, digits: int = 6) -> DataFrame:
-    """Five numbers, fences and outlier count per group.  The per-group
-    statistics (one row per group) join back to the rows to count
-    outliers; AQE broadcasts that small side."""
-    x = F.col(col).cast("double")
-    q = F.percentile(x, F.array(*[F.lit(p) for p in QUARTILES]))
-    st = df.groupBy(key).agg(F.count(x).alias("n"), F.min(x).alias("min"), q.alias("_q"), F.max(x).alias("max"))
-    st = st.select(key, "n", "min", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                   F.col("_q")[2].alias("q3"), "max")
-    iqr = F.col("q3") - F.col("q1")
-    st = st.withColumns({"lower_fence": F.col("q1") - IQR_FACTOR * iqr, "upper_fence": F.col("q3") + IQR_FACTOR * iqr})
-    cnt = (df.select(key, x.alias("_x")).join(st.select(key, "lower_fence", "upper_fence"), key)
-           .groupBy(key).agg(F.sum(((F.col("_x") < F.col("lower_fence")) |
-                                     (F.col("_x") > F.col("upper_fence"))).cast("long")).alias("n_outliers")))
-    res = st.join(cnt, key, "left")
-    return res.select(key, "n", *[F.round(c_, digits).alias(c_) for c_ in
-                                  ("min", "q1", "median", "q3", "max", "lower_fence", "upper_fence")],
+    """Five numbers, fences and outlier count per group, from the ranks
+    and counts of its distinct values.  A group without a value has zero
+    counts and no numbers."""
+    running = Q.running_counts(Q.value_counts(df, [col], [key]), [key])
+    stats = Q.fences(running, [key], IQR_FACTOR).withColumnsRenamed({"lower": "lower_fence", "upper": "upper_fence"})
+    groups = df.select(F.col(key).alias("_key")).distinct()
+    res = groups.join(stats, F.col("_key").eqNullSafe(F.col(key)), "left")
+    return res.select(F.col("_key").alias(key), F.coalesce("total", F.lit(0)).alias("n"),
+                      *[F.round(c_, digits).alias(c_) for c_ in
+                        ("min", "q1", "median", "q3", "max", "lower_fence", "upper_fence")],
                       F.coalesce("n_outliers", F.lit(0)).alias("n_outliers"))
 
 
 def iqr_outliers(df: DataFrame, cols, digits: int = 6) -> DataFrame:
-    """IQR bounds and outlier count per column.  Quartiles are scalar
-    subqueries, the count is one pass."""
-    parts = []
-    for c_ in cols:
-        x = F.col(c_).cast("double")
-        qs = df.agg(F.percentile(x, F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
-        q1, q3 = qs.select(F.col("q")[0]).scalar(), qs.select(F.col("q")[1]).scalar()
-        lo, hi = q1 - IQR_FACTOR * (q3 - q1), q3 + IQR_FACTOR * (q3 - q1)
-        parts.append(df.agg(F.round(q1, digits).alias("q1"), F.round(q3, digits).alias("q3"),
-                            F.round(q3 - q1, digits).alias("iqr"), F.round(lo, digits).alias("lower"),
-                            F.round(hi, digits).alias("upper"),
-                            F.sum(((x < lo) | (x > hi)).cast("long")).alias("n_outliers"))
-                     .select(F.lit(c_).alias("column"), "*"))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u
+    """IQR bounds and outlier count of all columns in one pass."""
+    stats = Q.fences(Q.running_counts(Q.value_counts(df, cols)), (), IQR_FACTOR)
+    values = {"q1": F.col("q1"), "q3": F.col("q3"), "iqr": F.col("q3") - F.col("q1"), "lower": F.col("lower"), "upper": F.col("upper")}
+    return stats.select("column", *[F.round(v, digits).alias(n) for n, v in values.items()], "n_outliers")
 
 
 def winsorize(df: DataFrame, cols, limit: float = WINSOR_LIMIT, suffix: str = "_w") -> DataFrame:
     """Fill NULLs with the median, then clip to the order statistics
     at ranks k and n-k-1 (0-based), k = int(limit * n), as rank-based
-    winsorising does.  ``percentile_disc`` at (k+0.5)/n and (n-k-0.5)/n hits
-    exactly those ranks; its percentage must be a literal, so n is counted
-    first (one scalar)."""
-    n = df.count()
-    if n == 0:
-        return df.withColumns({c_ + suffix: F.col(c_).cast("double") for c_ in cols})
-    k = int(limit * n)
-    p_lo, p_hi = (k + 0.5) / n, (n - k - 0.5) / n
-    out = df
+    winsorising does.  Medians and cuts of all columns are one small table,
+    read by scalar subqueries; a column without a value stays NULL."""
+    cuts = cut_lineage(Q.winsor_cuts(df, cols, limit))
+    out = {}
     for c_ in cols:
-        med = df.agg(F.median(F.col(c_).cast("double"))).scalar()
-        filled = F.coalesce(F.col(c_).cast("double"), med)
-        cut = df.select(filled.alias("_f")).agg(
-            F.expr(f"percentile_disc({p_lo!r}) WITHIN GROUP (ORDER BY _f)").alias("lo"),
-            F.expr(f"percentile_disc({p_hi!r}) WITHIN GROUP (ORDER BY _f)").alias("hi"))
-        lo, hi = cut.select("lo").scalar(), cut.select("hi").scalar()
-        out = out.withColumn(c_ + suffix, F.least(F.greatest(filled, lo), hi))
-    return out
+        one = cuts.filter(F.col("column") == c_)
+        median, low, high = (one.select(n).scalar() for n in ("median", "low", "high"))
+        x = F.col(c_).cast("double")
+        out[c_ + suffix] = F.least(F.greatest(F.coalesce(F.nanvl(x, F.lit(None)), median), low), high)
+    return df.withColumns(out)
 
 
 def corr_matrix(df: DataFrame, cols, digits: int = 9) -> DataFrame:
@@ -228,7 +197,7 @@ def _poisson1(u: F.Column) -> F.Column:
 def _uniform(seed: int, *cols) -> F.Column:
     """Deterministic uniform in [0, 1) from a hash of the columns and seed."""
     h = F.xxhash64(F.lit(seed), *cols)
-    return (F.pmod(h, F.lit(1 << 52)).cast("double") / float(1 << 52))
+    return (F.pmod(h, F.lit(KEY_RANGE)).cast("double") / float(KEY_RANGE))
 
 
 def bootstrap_mean_ci(df: DataFrame, col: str, replicates: int = 1000, seed: int = 42,
@@ -249,33 +218,50 @@ def bootstrap_mean_ci(df: DataFrame, col: str, replicates: int = 1000, seed: int
 
 
 def permutation_test(df: DataFrame, col: str, group: str, a, b, replicates: int = 1000,
-                     seed: int = 42, row_id: str | None = None) -> DataFrame:
+                     seed: int = 42, row_id: str | None = None, buckets: int = 256, resolved: int = 1 << 10) -> DataFrame:
     """Two-sample permutation test of the difference of means.
 
-    Each replicate gives every row a seeded random key; the rows ranked in
-    the first n_a positions by that key form group A.  The rank is a global
-    position over (replicate, key) from range partitioning (no replicate is
-    ever held by one task) minus the replicate's first position.  p = share
-    of replicates with |diff| >= observed."""
-    from hourlake.operators.features import global_row_index
+    Each replicate gives every row a seeded random key; the n_a rows with the
+    smallest keys form group A.  Rows aren't sorted for that: a histogram of
+    the keys of each replicate (counts and sums by bucket, partial per task)
+    tells in which bucket the n_a-th key lies and what the rows before it sum
+    to.  Only that bucket is looked into, by a histogram of its own while it
+    may hold more than ``resolved`` rows, and is ranked at last.  p = share of
+    replicates with |diff| >= observed.
+
+    Rows with equal keys are ordered by their id.  What is joined to the rows
+    is a row a replicate."""
     x = F.col(col).cast("double")
     rid = F.col(row_id) if row_id else F.monotonically_increasing_id()
-    rows = df.filter(x.isNotNull() & F.col(group).isin(a, b)).select(
-        x.alias("_x"), (F.col(group) == a).alias("_in_a"), rid.alias("_rid"))
-    stats = rows.agg(F.sum(F.col("_in_a").cast("long")).alias("na"), F.count(F.lit(1)).alias("n"),
+    rows = cut_lineage(df.filter(x.isNotNull() & F.col(group).isin(a, b)).select(
+        x.alias("_x"), (F.col(group) == a).alias("_in_a"), rid.alias("_rid")))
+    stats = rows.agg(F.coalesce(F.sum(F.col("_in_a").cast("long")), F.lit(0)).alias("na"), F.count(F.lit(1)).alias("n"),
                      F.avg(F.when(F.col("_in_a"), F.col("_x"))).alias("ma"),
-                     F.avg(F.when(~F.col("_in_a"), F.col("_x"))).alias("mb"))
-    na, n = stats.select("na").scalar(), stats.select("n").scalar()
-    observed = stats.select(F.abs(F.col("ma") - F.col("mb"))).scalar()
-    rep = rows.withColumn("_r", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    rep = rep.withColumn("_k", _uniform(seed, F.col("_rid"), F.col("_r")))
-    rep = global_row_index(rep, ["_r", "_k", "_rid"], out="_g",
-                           partitions=int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    first = rep.groupBy("_r").agg(F.min("_g").alias("_g0"))
-    rep = rep.join(first, "_r").withColumn("_a", (F.col("_g") - F.col("_g0")) < na)
-    diffs = rep.groupBy("_r").agg(
-        (F.sum(F.when(F.col("_a"), F.col("_x"))) / na
-         - F.sum(F.when(~F.col("_a"), F.col("_x"))) / (n - na)).alias("_d"))
+                     F.avg(F.when(~F.col("_in_a"), F.col("_x"))).alias("mb"), F.sum("_x").alias("s")).first()
+    if not 0 < stats["na"] < stats["n"]:  # one group is empty: nothing to test
+        return df.sparkSession.createDataFrame([(None, replicates, None)], "p_value double, replicates long, observed_diff double")
+    na, n, observed = stats["na"], stats["n"], abs(stats["ma"] - stats["mb"])
+    drawn = rows.select("_x", "_rid", F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("_r"))
+    drawn = drawn.withColumn("_k", F.pmod(F.xxhash64(F.lit(seed), "_rid", "_r"), F.lit(KEY_RANGE)))
+    # per replicate: the range of keys still open, and count and sum before it
+    open_ = df.sparkSession.range(1, replicates + 1).select(
+        F.col("id").cast("int").alias("_r"), F.lit(0).cast("long").alias("_low"), F.lit(0).cast("long").alias("_n"), F.lit(0.0).alias("_s"))
+    width, inside = KEY_RANGE, n
+    while inside > resolved and width > 1:
+        width = max(1, width // buckets)
+        found = drawn.join(F.broadcast(open_), "_r").filter((F.col("_k") >= F.col("_low")) & (F.col("_k") < F.col("_low") + width * buckets))
+        found = found.groupBy("_r", F.floor((F.col("_k") - F.col("_low")) / F.lit(width)).alias("_b"), "_low", "_n", "_s").agg(
+            F.count(F.lit(1)).alias("_bn"), F.sum("_x").alias("_bs"))
+        upto = Window.partitionBy("_r").orderBy("_b")  # a bucket a row
+        found = found.withColumns({"_cn": F.col("_n") + F.sum("_bn").over(upto), "_cs": F.col("_s") + F.sum("_bs").over(upto)})
+        hit = found.filter((F.col("_cn") >= na) & (F.col("_cn") - F.col("_bn") < na))
+        open_ = cut_lineage(hit.select("_r", (F.col("_low") + F.col("_b") * width).alias("_low"), (F.col("_cn") - F.col("_bn")).alias("_n"),
+                                       (F.col("_cs") - F.col("_bs")).alias("_s"), "_bn"))
+        inside = open_.agg(F.max("_bn")).first()[0]
+        open_ = open_.drop("_bn")
+    last = drawn.join(F.broadcast(open_), "_r").filter((F.col("_k") >= F.col("_low")) & (F.col("_k") < F.col("_low") + width))
+    last = last.withColumn("_rank", F.row_number().over(Window.partitionBy("_r").orderBy("_k", "_rid")))
+    sums = last.filter(F.col("_rank") <= na - F.col("_n")).groupBy("_r").agg((F.max("_s") + F.sum("_x")).alias("_sa"))
+    diffs = sums.select((F.col("_sa") / na - (F.lit(stats["s"]) - F.col("_sa")) / (n - na)).alias("_d"))
     return diffs.agg(F.avg((F.abs("_d") >= observed - 1e-12).cast("double")).alias("p_value"),
-                     F.count(F.lit(1)).alias("replicates"),
-                     F.first(observed).alias("observed_diff"))
+                     F.count(F.lit(1)).alias("replicates"), F.lit(observed).alias("observed_diff"))
