@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hourlake.plans.oracle import avg_hu, oracle
+from hourlake.plans.oracle import HEAD, ORACLE, avg_hu, oracle
 from hourlake.plans.oracle_quality import FORECAST, VOCAB
 
 HIDX = "date_diff('hour', TIMESTAMP '1970-01-01', {ts})"
@@ -33,7 +33,9 @@ oracle("rolling_6h_mean", f"""SELECT place, slot, aqi, avg(aqi) OVER (PARTITION
   RANGE BETWEEN 5 PRECEDING AND CURRENT ROW) AS aqi_mean_6h FROM measures""")
 oracle("prev_6h_mean", f"""SELECT place, slot, aqi, avg(aqi) OVER (PARTITION BY place ORDER BY {HIDX.format(ts='hour_ts')}
   RANGE BETWEEN 6 PRECEDING AND 1 PRECEDING) AS aqi_mean_6h FROM measures""")
-oracle("history_join", FORECAST + """SELECT m.place, m.hour_ts, m.aqi, m.temperature, f.wind_direction, f.cloud_cover,
+# Measures stand on both sides of this join: they are made once, without the views that it doesn't need.
+MEASURES_ONCE = HEAD[:HEAD.index(", places AS")].replace(", measures AS (", ", measures AS MATERIALIZED (")
+oracle("history_join", head=MEASURES_ONCE, tail=FORECAST + """SELECT m.place, m.hour_ts, m.aqi, m.temperature, f.wind_direction, f.cloud_cover,
   f.precipitation FROM measures m JOIN forecast f ON m.place = f.place AND m.hour_ts = f.fc_ts""")
 FUT = """, fut AS (SELECT * FROM (SELECT r.*, f.fc_ts, f.wind_direction, f.cloud_cover, f.precipitation,
     row_number() OVER (PARTITION BY r.place, r.run_ts ORDER BY f.fc_ts) AS rn
@@ -88,3 +90,13 @@ oracle("alert_confusion", PAIRS + """SELECT sum(CASE WHEN actual > 100 AND predi
 oracle("pred_vs_actual", PAIRS + "SELECT place, target_ts, actual, predicted FROM pairs")
 oracle("tumbling_hour", f"""SELECT date_trunc('hour', ts) AS window_start, place, count(*) AS n,
   {avg_hu("CAST(value AS DECIMAL(12,2))", 2, 4)} AS value_mean FROM readings GROUP BY date_trunc('hour', ts), place""")
+KEYED = f"""SELECT hour_ts AS window_start, count(*) AS n_places, count(value) AS n_values, {avg_hu("CAST(value AS DECIMAL(12,2))", 2, 4)} AS value_mean
+  FROM (SELECT place, hour_ts, value, row_number() OVER (PARTITION BY place, slot ORDER BY ts DESC, event_id DESC) AS rn FROM readings) r
+  WHERE rn = 1 GROUP BY hour_ts"""
+oracle("keyed_hour", KEYED)
+oracle("keyed_hour_stream", KEYED)
+oracle("touched_ingest", """SELECT p.place, f.slot, CAST(f.temperature AS DOUBLE) AS temperature, CAST(f.humidity AS DOUBLE) AS humidity,
+  CAST(f.pressure AS DOUBLE) AS pressure, CAST(f.wind_speed AS DOUBLE) AS wind_speed, CAST(f.aqi AS DOUBLE) AS aqi,
+  CAST(f.pm25 AS DOUBLE) AS pm25, CAST(f.pm10 AS DOUBLE) AS pm10, CAST(f.no2 AS DOUBLE) AS no2, CAST(f.o3 AS DOUBLE) AS o3,
+  f.weather_status, f.air_status FROM fact f JOIN places p USING (place_id)""")
+oracle("tumbling_hour_stream", ORACLE["tumbling_hour"], head="")

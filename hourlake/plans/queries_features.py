@@ -188,20 +188,88 @@ def q_tumbling_hour(spark, sf_dir):
     return ST.hourly_window_batch(r, "ts", "place", "value")
 
 
+def _event_stream(spark, sf_dir):
+    """The events file read as a file stream, as readings with exact values."""
+    from hourlake.sources import testdata as TD
+    schema = TD.table(spark, sf_dir, "events").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+              .option("maxFilesPerTrigger", 1).parquet(sf_dir))
+    return TD.readings(stream).withColumn("value", F.col("value").cast("decimal(12,2)"))
+
+
+def _stream_folders(spark, name):
+    import uuid
+    from hourlake.session import ensure_checkpoint_dir
+    root = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{root}/rows", f"{root}/checkpoint"
+
+
 @query("tumbling_hour_stream")
 def q_tumbling_hour_stream(spark, sf_dir):
-    """L2 on a stream (rows-only): the events file is read as a file stream
-    with a watermark and de-duplication of repeated readings, drained with
-    availableNow into an in-memory table."""
+    """L2 on a stream: hourly windows with a watermark and de-duplication of
+    repeated readings, drained with availableNow into files by epoch."""
+    from hourlake.streaming import incremental as ST
+    agg = ST.hourly_window(_event_stream(spark, sf_dir), "ts", "place", "value", dedup_keys=("event_id", "ts"))
+    folder, checkpoint = _stream_folders(spark, "tumbling")
+    ST.run_to_epochs(agg, folder, checkpoint, mode="complete")
+    return ST.read_epochs(spark, folder, agg.schema)
+
+
+@query("keyed_hour_stream")
+def q_keyed_hour_stream(spark, sf_dir):
+    """L2 with keep-last per (place, slot) as streaming state: each hour's
+    number of places and mean of their last values."""
+    from hourlake.streaming import incremental as ST
+    readings = _event_stream(spark, sf_dir).select("place", "ts", "event_id", "value")
+    last = ST.last_readings(readings)
+    folder, checkpoint = _stream_folders(spark, "keyed")
+    ST.run_to_epochs(last, folder, checkpoint)
+    return ST.hourly_of(ST.read_epochs(spark, folder, last.schema, ("place", "window_start")))
+
+
+@query("keyed_hour")
+def q_keyed_hour(spark, sf_dir):
+    """L2 batch twin of ``keyed_hour_stream``."""
+    from hourlake.operators import clean
+    from hourlake.sources import testdata as TD
+    from hourlake.streaming import incremental as ST
+    r = TD.readings(TD.table(spark, sf_dir, "events")).withColumn("value", F.col("value").cast("decimal(12,2)"))
+    last = clean.keep_last(r.select("place", F.col("hour_ts").alias("window_start"), "ts", "event_id", "value"),
+                           ["place", "window_start"], ("ts", "event_id"))
+    return ST.hourly_of(last)
+
+
+@query("touched_ingest")
+def q_touched_ingest(spark, sf_dir):
+    """L1: raw payloads land in two deliveries, the second with the late air
+    documents of a third of the hours; the fact after both ingests."""
     import uuid
+    from hourlake.operators import clean
+    from hourlake.operators import load as LD
+    from hourlake.plans.queries_load import new_warehouse
     from hourlake.session import ensure_checkpoint_dir
+    from hourlake.sources import raw
     from hourlake.sources import testdata as TD
     from hourlake.streaming import incremental as ST
-    schema = TD.table(spark, sf_dir, "events").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .option("maxFilesPerTrigger", 1).parquet(sf_dir))
-    readings = TD.readings(stream).withColumn("value", F.col("value").cast("decimal(12,2)"))
-    agg = ST.hourly_window(readings, "ts", "place", "value", dedup_keys=("event_id", "ts"))
-    name = f"tumbling_hour_{uuid.uuid4().hex[:8]}"
-    ckpt = f"{ensure_checkpoint_dir(spark)}/{name}"
-    return ST.run_to_table(spark, agg, name, ckpt, mode="complete")
+    events = TD.table(spark, sf_dir, "events")
+    root = f"{ensure_checkpoint_dir(spark)}/ingest-{uuid.uuid4().hex}"
+    keys, order = ["place", "slot"], ("ts", "event_id")
+    last = {name: clean.keep_last(rows, keys, order) for name, rows in (("weather", TD.weather_readings(events)), ("air", TD.air_readings(events)))}
+
+    def land(payloads, name):
+        raw.land_raw(payloads.withColumn("run_ts", X.slot_to_ts("slot")), f"{root}/{name}")
+
+    warehouse = new_warehouse(spark)
+
+    def sink(cleaned, rejects, epoch):
+        LD.load_run(warehouse, cleaned, f"scheduled__{epoch}", "2024-02-01 00:00:00")
+
+    late = F.col("slot") % 3 == 0
+    land(raw.weather_payloads(last["weather"]), "weather")
+    land(raw.air_payloads(last["air"].filter(~late)), "air")
+    roots = (f"{root}/weather", f"{root}/air", f"{root}/state")
+    ST.ingest_touched(spark, *roots, sink)
+    land(raw.air_payloads(last["air"].filter(late)), "air")
+    ST.ingest_touched(spark, *roots, sink)
+    fact = warehouse.read("fact").join(warehouse.read("places"), "place_id")
+    return fact.select("place", "slot", *[F.col(m).cast("double").alias(m) for m in X.ALL_METRICS], "weather_status", "air_status")

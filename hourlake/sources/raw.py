@@ -126,28 +126,36 @@ def flatten_air(df: DataFrame, doc_col: str | None = None) -> DataFrame:
                      *[iaqi.getItem(p).getField("v").try_cast("double").alias(p) for p in POLLUTANTS])
 
 
-def weather_documents(readings: DataFrame) -> DataFrame:
-    """Nested weather documents for the stand-in readings (JSON text, NULL
-    fields omitted), parsed back with the explicit schema."""
+def weather_payloads(readings: DataFrame) -> DataFrame:
+    """Nested weather documents for the stand-in readings, as JSON text with
+    NULL fields omitted."""
     doc = F.struct(
         F.struct(F.col("temperature").alias("temp"), F.col("humidity").cast("long").alias("humidity"),
                  F.col("pressure").cast("long").alias("pressure")).alias("main"),
         F.struct(F.col("wind_speed").alias("speed")).alias("wind"),
         F.col("place").alias("name"))
-    txt = readings.select("place", "slot", F.to_json(doc).alias("payload"))
-    return txt.select("place", "slot", F.from_json("payload", WEATHER_SCHEMA).alias("doc"))
+    return readings.select("place", "slot", F.to_json(doc).alias("payload"))
 
 
-def air_documents(readings: DataFrame) -> DataFrame:
-    """Nested air documents for the stand-in readings: pollutants that are
-    missing have no key in ``iaqi``."""
+def weather_documents(readings: DataFrame) -> DataFrame:
+    """The stand-in weather documents parsed back with the explicit schema."""
+    return weather_payloads(readings).select("place", "slot", F.from_json("payload", WEATHER_SCHEMA).alias("doc"))
+
+
+def air_payloads(readings: DataFrame) -> DataFrame:
+    """Nested air documents for the stand-in readings, as JSON text: pollutants
+    that are missing have no key in ``iaqi``."""
     iaqi = F.map_filter(
         F.create_map(*[x for p in POLLUTANTS for x in (F.lit(p), F.struct(F.col(p).cast("string").alias("v")))]),
         lambda k, v: v.getField("v").isNotNull())
     doc = F.struct(F.lit(AIR_OK).alias("status"),
                    F.struct(F.col("aqi").cast("string").alias("aqi"), iaqi.alias("iaqi")).alias("data"))
-    txt = readings.select("place", "slot", F.to_json(doc).alias("payload"))
-    return txt.select("place", "slot", F.from_json("payload", AIR_SCHEMA).alias("doc"))
+    return readings.select("place", "slot", F.to_json(doc).alias("payload"))
+
+
+def air_documents(readings: DataFrame) -> DataFrame:
+    """The stand-in air documents parsed back with the explicit schema."""
+    return air_payloads(readings).select("place", "slot", F.from_json("payload", AIR_SCHEMA).alias("doc"))
 
 
 def zip_forecast(df: DataFrame, doc_col: str = "doc", run_col: str | None = None) -> DataFrame:
