@@ -159,7 +159,7 @@ def global_row_index(df: DataFrame, order_cols, out: str = "row_idx", partitions
     partitions (a table with one row per partition, broadcast) gives the
     global position.  ``order_cols`` must be unique.
     """
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Range bounds are sampled from the input; when the input comes out of a
     # shuffle its row order (and so the sample) can differ between two
     # evaluations.  The partitioned rows are checkpointed once so that the
@@ -180,10 +180,50 @@ def temporal_folds(df: DataFrame, order_cols=("hour_ts", "place"), n_splits: int
     the next t rows.  Returns one row per (row, fold) membership with
     ``fold`` and ``role`` ('train'/'test')."""
     idx = global_row_index(df, list(order_cols))
-    n = df.agg(F.count(F.lit(1))).scalar()
+    n = idx.agg(F.coalesce(F.max("row_idx") + 1, F.lit(0))).scalar()
     t = F.floor(n / (n_splits + 1))
     x = idx.withColumn("fold", F.explode(F.sequence(F.lit(1), F.lit(n_splits))))
     train_end = n - (n_splits - F.col("fold") + 1) * t
     role = (F.when(F.col("row_idx") < train_end, F.lit("train"))
             .when(F.col("row_idx") < train_end + t, F.lit("test")))
     return x.withColumn("role", role).filter(F.col("role").isNotNull())
+
+
+# ---- rejects of the feature build (K14) ----------------------------------------
+
+# ---- fixed values: why a place of a run gets no features
+NO_CLEANED_ROW, NO_FORECAST, NO_FUTURE_SLOT = "cleaned row missing", "forecast unavailable", "no future slot in the forecast"
+
+
+def feature_rejects(runs: DataFrame, places, measures: DataFrame, forecasts: DataFrame) -> DataFrame:
+    """The places of each run (``slot, run_ts``) that get no features, with
+    the first of three reasons that holds and what explains it: no cleaned row
+    of that hour, no forecast fetched by the run, or none of its times later
+    than the run.
+
+    ``forecasts`` has a row for each time of a forecast: ``slot`` of the run that
+    fetched it, ``place, fc_ts``.  Runs expand to the configured ``places`` by a
+    generator; forecasts are summed up to a row a run and place before they
+    are joined."""
+    wanted = runs.select("slot", "run_ts", F.explode(F.array(*[F.lit(p) for p in places])).alias("place"))
+    held = measures.select("place", "slot", F.lit(True).alias("_row"))
+    last = forecasts.groupBy("place", "slot").agg(F.max("fc_ts").alias("_last"), F.count(F.lit(1)).alias("_times"))
+    checked = wanted.join(held, ["place", "slot"], "left").join(last, ["place", "slot"], "left")
+    reason = (F.when(F.col("_row").isNull(), F.lit(NO_CLEANED_ROW)).when(F.col("_times").isNull(), F.lit(NO_FORECAST))
+              .when(~(F.col("_last") > F.col("run_ts")), F.lit(NO_FUTURE_SLOT)))
+    context = F.when(reason == NO_FUTURE_SLOT, F.create_map(
+        F.lit("run_ts"), F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss"), F.lit("last_forecast_ts"), F.date_format("_last", "yyyy-MM-dd HH:mm:ss"),
+        F.lit("forecast_times"), F.col("_times").cast("string")))
+    empty = F.create_map().cast("map<string,string>")
+    return checked.withColumn("reason", reason).filter("reason IS NOT NULL").select(
+        "slot", "run_ts", "place", "reason", F.coalesce(context, empty).alias("context"))
+
+
+def run_verdicts(runs: DataFrame, n_places: int, rejects: DataFrame) -> DataFrame:
+    """Per run, rejected places and the verdict on its features: complete,
+    partial, or none."""
+    counts = rejects.groupBy("slot").agg(F.count(F.lit(1)).alias("_n"))
+    out = runs.select("slot").join(counts, "slot", "left").withColumn("n_rejected", F.coalesce("_n", F.lit(0)))
+    verdict = (F.when(F.col("n_rejected") == 0, F.lit("complete")).when(F.col("n_rejected") >= n_places, F.lit("none"))
+               .otherwise(F.lit("partial")))
+    return out.select("slot", "n_rejected", verdict.alias("verdict"))

@@ -9,13 +9,13 @@ not the raw scan, and a lost executor recomputes from there.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourlake.functions import columns as X
+from hourlake.operators import stages as ST
 from hourlake.session import cut_lineage
 
 # ---- fixed values: model hyper-parameters ------------------------------------
@@ -49,32 +49,56 @@ def _double_features(df: DataFrame, features) -> DataFrame:
     return df.withColumns({f: F.col(f).cast("double") for f in features})
 
 
-def cross_validate(spark: SparkSession, data: DataFrame, folds: DataFrame, features, estimator,
-                   label: str = "target", keys=("place", "slot")) -> DataFrame:
+def place_pipeline(numeric, others, estimator, place: str = "place") -> Pipeline:
+    """Features in ``numeric`` are filled by their place's median, with
+    a missing indicator each, ``others`` are taken as they are, and the place
+    is encoded by the vocabulary of the training rows."""
+    imputer = ST.PlaceImputer(inputCols=list(numeric), place=place)
+    encoder = ST.PlaceEncoder(inputCol=place, outputCol="_place_vector")
+    columns = [c + suffix for c in numeric for suffix in (ST.FILLED, ST.MISSING)] + list(others) + ["_place_vector"]
+    vector = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[imputer, encoder, vector, estimator])
+
+
+def place_feature_names(model: PipelineModel) -> list[str]:
+    """Names of the assembled features of a fitted ``place_pipeline``."""
+    imputer, encoder, vector, _ = model.stages
+    return [c for c in vector.getInputCols() if c != encoder.getOutputCol()] + [f"place_{w}" for w in encoder.words()]
+
+
+def cross_validate_pipeline(spark: SparkSession, data: DataFrame, folds: DataFrame, pipe: Pipeline,
+                            label: str = "target", keys=("place", "slot")) -> DataFrame:
     """K5: fit on each expanding-window fold's train rows, score its test
-    rows; returns fold, sizes, R², MAE, RMSE (one row per fold)."""
-    data = cut_lineage(_double_features(data, features))
+    rows; returns fold, sizes, R², MAE, RMSE (one row per fold).  Each fold's
+    rows are written once; fitting, scoring and counting read them there."""
     members = cut_lineage(folds.select(*keys, "fold", "role"))
     rows = []
     for k in range(1, N_FOLDS + 1):
-        fk = members.filter(F.col("fold") == k)
-        train = data.join(fk.filter(F.col("role") == "train").select(*keys), list(keys), "left_semi")
-        test = data.join(fk.filter(F.col("role") == "test").select(*keys), list(keys), "left_semi")
-        model = pipeline(features, estimator).fit(train)
-        pred = model.transform(test)
+        fk = members.filter(F.col("fold") == k).drop("fold")
+        split = cut_lineage(data.join(fk, list(keys)))
+        train, test = split.filter("role = 'train'"), split.filter("role = 'test'")
+        pred = pipe.fit(train).transform(test)
         m = metrics(pred, label, "prediction").first()
-        rows.append((k, train.count(), test.count(), m["r2"], m["mae"], m["rmse"]))
+        sizes = {r["role"]: r["count"] for r in split.groupBy("role").count().collect()}
+        rows.append((k, sizes.get("train", 0), sizes.get("test", 0), m["r2"], m["mae"], m["rmse"]))
     return spark.createDataFrame(rows, "fold int, n_train long, n_test long, r2 double, mae double, rmse double")
 
 
+def cross_validate(spark: SparkSession, data: DataFrame, folds: DataFrame, features, estimator,
+                   label: str = "target", keys=("place", "slot")) -> DataFrame:
+    """K5 with medians over all places (``pipeline``)."""
+    data = cut_lineage(_double_features(data, features))
+    return cross_validate_pipeline(spark, data, folds, pipeline(features, estimator), label, keys)
+
+
 def choose(cv_results: dict) -> str:
     """K6: the model name with the best mean R²."""
     return max(cv_results, key=lambda k: cv_results[k].agg(F.avg("r2")).first()[0])
 
 
 def fit_all(data: DataFrame, features, estimator) -> PipelineModel:
-    """K7: refit on every row."""
-    return pipeline(features, estimator).fit(_double_features(data, features))
+    """K7: refit on every row, written once for the passes of the fit."""
+    return pipeline(features, estimator).fit(cut_lineage(_double_features(data, features)))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

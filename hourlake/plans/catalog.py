@@ -397,5 +397,5 @@ def q_insert_defaults(spark, sf_dir):
 
 
 # Query keys defined in the sibling modules register themselves on import.
-from hourlake.plans import queries_quality, queries_profile, queries_features  # noqa: E402,F401
+from hourlake.plans import queries_quality, queries_profile, queries_features, queries_load, queries_signals, queries_scoring  # noqa: E402,F401
 from hourlake.plans import oracle_quality, oracle_features  # noqa: E402,F401
