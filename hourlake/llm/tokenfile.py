@@ -40,6 +40,7 @@ import json
 import os
 import re
 import uuid
+import zlib
 from functools import lru_cache
 
 import numpy as np
@@ -55,7 +56,8 @@ from hourlake.session import ensure_checkpoint_dir
 
 #: Longest code, ids in a block, ids between checkpoints, bytes of kept words.
 LONGEST, BLOCK, EVERY, KEPT = 18, 1 << 16, 64, 128 << 20
-PART = 4 << 20
+#: Bytes of text encoded and blocks decoded at once.
+PART, GROUP = 8 << 20, 16
 
 
 def _path(path: str | None) -> str:
@@ -399,14 +401,6 @@ def _lists(column: pa.Array) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
-def _pieces(batch: pa.RecordBatch, book: Codebook, every: int, group: int = 16):
-    """Of each block of a batch its decoded ids, and the batch's row."""
-    bits, checkpoints, sizes = batch.column("bits").to_pylist(), _lists(batch.column("checkpoints")), batch.column("n_ids").to_pylist()
-    for first in range(0, batch.num_rows, group):
-        rows = range(first, min(first + group, batch.num_rows))
-        yield from zip(rows, book.decode([(bits[i], checkpoints[i], sizes[i]) for i in rows], every))
-
-
 def _book(spark: SparkSession, folder: str) -> tuple[np.ndarray, np.ndarray]:
     rows = spark.read.schema("id int, length int").parquet(f"{folder}/codebook").collect()
     return tuple(np.array([r[i] for r in rows], np.int64) for i in (0, 1))
@@ -429,15 +423,22 @@ def _decoded(spark: SparkSession, folder: str, value: str, kind: T.DataType, of,
             names = batch.column("doc_ids").values
             ends = batch.column("doc_ids").offsets.to_pylist()
             docs, starts, sizes = (_lists(batch.column(c)) for c in ("docs", "starts", "lengths"))
-            part, number, held = (batch.column(c).to_pylist() for c in ("part", "block", "n_ids"))
-            for i, decoded in _pieces(batch, book, every):
-                begin = number[i] * block
-                low, high = np.maximum(starts[i], begin), np.minimum(starts[i] + sizes[i], begin + held[i])
-                values = [of(decoded[a:b], after) for a, b, after in
-                          zip((low - begin).tolist(), (high - begin).tolist(), (starts[i] + sizes[i] - high).tolist())]
+            part, number, held = (batch.column(c).to_numpy() for c in ("part", "block", "n_ids"))
+            bits, checkpoints = batch.column("bits").to_pylist(), _lists(batch.column("checkpoints"))
+            for first in range(0, batch.num_rows, GROUP):
+                rows = range(first, min(first + GROUP, batch.num_rows))
+                decoded = book.decode([(bits[i], checkpoints[i], int(held[i])) for i in rows], every)
+                begin = np.repeat(number[first:rows.stop] * block, [len(docs[i]) for i in rows])
+                end = np.repeat(number[first:rows.stop] * block + held[first:rows.stop], [len(docs[i]) for i in rows])
+                start, size = (np.concatenate([x[i] for i in rows]) for x in (starts, sizes))
+                low, high = np.maximum(start, begin), np.minimum(start + size, end)
+                own = np.repeat(np.arange(len(rows)), [len(docs[i]) for i in rows])
+                values = [of(decoded[i][a:b], after) for i, a, b, after in
+                          zip(own.tolist(), (low - begin).tolist(), (high - begin).tolist(), (start + size - high).tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(low), part[i], np.int32)), pa.array(docs[i]), names.slice(ends[i], ends[i + 1] - ends[i]),
-                     pa.array(starts[i]), pa.array(sizes[i]), pa.array(low - starts[i]), pa.array(values, _VALUE[value])], schema.names)
+                    [pa.array(part[first:rows.stop][own]), pa.array(np.concatenate([docs[i] for i in rows])),
+                     names.slice(ends[first], ends[rows.stop] - ends[first]), pa.array(start), pa.array(size), pa.array(low - start),
+                     pa.array(values, _VALUE[value])], schema.names)
 
     return blocks.mapInArrow(run, schema)
 
@@ -492,9 +493,8 @@ def crc_before(crc: int, n_bytes: int) -> int:
 
 
 def _crc_piece(ids: np.ndarray, after: int) -> int:
-    import zlib
-
-    return crc_before(zlib.crc32(ids.astype("<u4").tobytes()), 4 * after)
+    crc = zlib.crc32(ids.astype("<u4", copy=False))
+    return crc_before(crc, 4 * after) if after else crc
 
 
 def token_report(docs: DataFrame, path: str | None = None) -> DataFrame:
