@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -24,14 +25,36 @@ def share_package(spark) -> None:
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)
 
 
-def written(rows):
+def written(rows, folder: str | None = None):
     """The rows, written as a Parquet table in the shared checkpoint folder and
     read again: cuts the lineage as ``checkpoint()`` does, but keeps columns
-    compressed, where a checkpoint keeps whole rows as they are in memory."""
+    compressed, where a checkpoint keeps whole rows as they are in memory.
+
+    What made the rows is not needed any more; a collection on the driver tells
+    Spark's cleaner so, which then deletes the shuffle files behind them."""
     spark = rows.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/written-{uuid.uuid4().hex}"
+    path = f"{folder or ensure_checkpoint_dir(spark)}/written-{uuid.uuid4().hex}"
+    schema = rows.schema
     rows.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    del rows
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
+
+
+class Scratch:
+    """Tables written on the way to a result, in a folder of their own in the
+    shared one; ``clear`` deletes them once the result is written itself."""
+
+    def __init__(self, spark):
+        self.spark, self.folder = spark, f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+
+    def written(self, rows):
+        return written(rows, self.folder)
+
+    def clear(self) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bounded(batches: Iterator[pa.RecordBatch], text: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
