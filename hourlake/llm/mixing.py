@@ -9,8 +9,11 @@ dealt out and ordered by a second hash: a global shuffle.
 A rate above ``PART`` is split into equal parts, each inverted at its own
 number; their sum has the wanted distribution, and no tail is cut: every table
 of the distribution ends where doubles reach 1.  A source's rate does not
-depend on its being in one task: counts are summed map-side, and rows meet the
-rates through an equality join whose small side has one row a source.
+depend on its being in one task: counts are summed map-side.  The table of rates
+has a row a source: it is written and counted, and broadcast while it has at
+most ``MOST_SOURCES`` rows, so texts move once, to their place in the mixture.
+Beyond that rows meet the rates through an equality join, each source dealt over
+``SALTS`` tasks.
 
 Only DataFrame functions are used.  Defined cases: a null source is a source of
 its own; a null id is replaced by a hash of the text; repeated rows draw the
@@ -25,11 +28,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourlake.session import cut_lineage
+
 SEED = 17
 PART = 32.0
 #: Terms of a part's distribution table; at a mean of 32 the last term is 1 to
 #: the precision of doubles long before.
 TERMS = 128
+#: Sources whose rates are broadcast: 1 KB each.
+MOST_SOURCES = 20_000
+#: Tasks a source is dealt over where they aren't.
+SALTS = 64
 
 
 def uniform(*parts: Column) -> Column:
@@ -69,16 +78,26 @@ def distribution(rates: DataFrame) -> DataFrame:
     return rates.withColumn("_m_cdf", F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), state, step, lambda a: a["cdf"]))
 
 
+def with_rates(docs: DataFrame, rates: DataFrame, most: int = MOST_SOURCES) -> DataFrame:
+    """Rows with the columns of their source's rate."""
+    rates = cut_lineage(rates)
+    if rates.count() <= most:
+        return docs.join(F.broadcast(rates), docs["source"].eqNullSafe(rates["_m_source"]), "left").drop("_m_source")
+    salted = docs.withColumn("_m_salt", F.pmod(F.xxhash64("doc_id", "text"), F.lit(SALTS)).cast("int"))
+    every = rates.withColumn("_m_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    met = salted["source"].eqNullSafe(every["_m_source"]) & (F.col("_m_salt") == F.col("_m_s"))
+    return salted.join(every, met, "left").drop("_m_source", "_m_s", "_m_salt")
+
+
 def mix_sources(docs: DataFrame, weights: DataFrame | None = None, seed: int = SEED, temperature: float = 0.5,
-                total: float | None = None) -> DataFrame:
+                total: float | None = None, most: int = MOST_SOURCES) -> DataFrame:
     """``docs`` replicated and shuffled, with ``copy`` (from 1) and
     ``shuffle_key``; each output partition is ordered by the key, and the keys
     of a partition are a random set of all."""
     docs = docs.drop("copy", "shuffle_key")
     rates = distribution(target_rates(docs, weights, temperature, total)).drop("_m_rate", "_m_mean")
     key = F.coalesce(F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit(""))))
-    rows = docs.join(rates, docs["source"].eqNullSafe(rates["_m_source"]), "left").drop("_m_source")
-    rows = rows.withColumn("_m_key", key)
+    rows = with_rates(docs, rates, most).withColumn("_m_key", key)
     # drawn once a part, outside the search of the table
     draws = F.transform(F.sequence(F.lit(1), F.col("_m_parts")),
                         lambda j: uniform(F.lit(str(seed)), F.col("_m_key"), j.cast("string")))

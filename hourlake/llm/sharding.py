@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 #: A prime, far above a hundred slots a shard.
 TABLE_SIZE = 65_537
 SHARDS = 64
-SPREAD = 16
+#: Rows that a task of a shard is dealt, where the spread isn't given.
+ROWS_A_TASK = 100_000
 
 
 def _hash(name: str, salt: str) -> int:
@@ -67,9 +68,13 @@ def assign_shards(docs: DataFrame, shards: list[str] | None = None, table_size:
     return docs.withColumn("slot", F.pmod(key, F.lit(table_size)).cast("int")).join(F.broadcast(table), "slot")
 
 
-def place(docs: DataFrame, spread: int = SPREAD, **options) -> DataFrame:
+def place(docs: DataFrame, spread: int | None = None, **options) -> DataFrame:
     """``assign_shards`` with the rows of a shard brought together, each shard
-    over ``spread`` tasks dealt by the text, for writing by shard."""
+    over ``spread`` tasks dealt by the text, for writing by shard; by default as
+    many as the rows need, a count of which reads no text."""
+    if spread is None:
+        shards = len(options.get("shards") or shard_names())
+        spread = max(4, -(-docs.count() // (shards * ROWS_A_TASK)))
     rows = assign_shards(docs, **options)
     salt = F.pmod(F.xxhash64(*(c for c in docs.columns if c not in ("slot", "shard"))), F.lit(spread))
     return rows.withColumn("_s_salt", salt).repartition("shard", "_s_salt").drop("_s_salt")

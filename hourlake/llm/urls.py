@@ -4,8 +4,10 @@ character trigrams of host and path for the rest.
 Only DataFrame functions and Spark's own learner are used.  Hosts and paths are
 cut by plain string functions in linear time.  The learner sees a small table
 of labelled URLs of at most ``max_labelled`` rows: by default distinct URLs on
-which a rule decides, those with the smallest hash.  Every URL is scored; the
-model is one vector of ``buckets`` numbers.
+which a rule decides, those with the smallest hash.  Without a table of its own
+the model's verdict extrapolates the rules: to a host that no rule names it says
+what rules say of URLs that look alike.  Every URL is scored; the model is one
+vector of ``buckets`` numbers.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path,
 fits no rule and is judged by the model on no trigram; repeated rows are judged
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourlake.llm.common import LOWER, UPPER
+from hourlake.session import cut_lineage
 
 # Fixed values of the contract: (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
@@ -92,7 +95,8 @@ def judge_urls(pages: DataFrame, rules=RULES, labelled: DataFrame | None = None,
     """``page_id, host, path, rule, verdict, score`` of every page; ``score``
     is the model's probability of ``block``, null without a model."""
     rows = split_urls(pages, rules)
-    model = train(labelled if labelled is not None else labelled_urls(rows, max_labelled), buckets)
+    # written once: the learner passes over it many times
+    model = train(cut_lineage(labelled if labelled is not None else labelled_urls(rows, max_labelled)), buckets)
     if isinstance(model, str):
         scored = rows.withColumn("_u_verdict", F.lit(model)).withColumn("score", F.lit(None).cast("double"))
     else:
