@@ -289,8 +289,10 @@ def _grouped(docs: DataFrame, order_buckets: int) -> tuple[DataFrame, DataFrame]
     n = F.shiftright("place", 32).cast("int")
     shared = shared.select("item", "name", n.alias("n"), (F.col("place") % F.lit(1 << 32)).cast("int").alias("at"),
                            block_of(n).alias("block"), "sets")
-    central = shared.groupBy("name").agg(F.sum("sets").alias("weight"))
-    lists = cut_lineage(shared.drop("sets").join(central, "name"))
+    # n goes with the name; asking for it here keeps the dealt lists the same on
+    # both sides of the join, so that they are made once
+    central = shared.groupBy("name", "n").agg(F.sum("sets").alias("weight"))
+    lists = cut_lineage(shared.drop("sets").join(central, ["name", "n"]))
     links = cut_lineage(verified(_star_pairs(lists), docs, classes))
     rest = _classed(lists, links)
     links = cut_lineage(links.unionByName(verified(_all_pairs(rest), docs, classes)))
