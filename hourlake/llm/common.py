@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -30,15 +31,18 @@ def written(rows, folder: str | None = None):
     read again: cuts the lineage as ``checkpoint()`` does, but keeps columns
     compressed, where a checkpoint keeps whole rows as they are in memory.
 
-    What made the rows is not needed any more; a collection on the driver tells
-    Spark's cleaner so, which then deletes the shuffle files behind them."""
+    What made the rows is not needed any more.  Spark's cleaner learns that from
+    collections on the driver (the second one meets what the first let go, half
+    a second later) and then deletes the shuffle files behind the rows."""
     spark = rows.sparkSession
     path = f"{folder or ensure_checkpoint_dir(spark)}/written-{uuid.uuid4().hex}"
     schema = rows.schema
     rows.write.option("compression", "zstd").parquet(path)
     del rows
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for pause in (0.5, 0):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(pause)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -65,7 +65,8 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 400-byte strings that start twice."""
-    return substring.dedup_substrings(_table(spark, sf_dir, "documents"))
+    rows = substring.dedup_substrings(_table(spark, sf_dir, "documents"))
+    return rows.withColumns({"n_kept": F.col("n_bytes") - F.col("n_removed"), "has_repeats": F.col("n_removed") > 0})
 
 
 def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

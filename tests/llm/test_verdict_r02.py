@@ -144,7 +144,7 @@ def test_whole_copies_and_long_passages(spark, monkeypatch, bits):
     texts = [page] * 6 + [page[:500] + letters(300), letters(200) + passage + letters(100), passage, passage, letters(50) + passage[300:900],
                           short, short, None, "", "a" * 399, "b" * 400, "b" * 400, "c" * 900, letters(2000)]
     texts += [f"{letters(30)}{passage[k:k + 420]}{letters(30)}" for k in range(0, 800, 40)]
-    monkeypatch.setattr(substring, "maybe_in", lambda rows, keys, name, _f=substring.maybe_in: _f(rows, keys, name, bits))
+    monkeypatch.setattr(substring, "maybe_in", lambda rows, keys, name, *_, f=substring.maybe_in: f(rows, keys, name, bits))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
     got = {r.doc_id: r for r in substring.dedup_substrings(docs, texts=True).collect()}
     for i, want in enumerate(brute_cut(texts)):
