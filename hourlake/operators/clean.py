@@ -144,9 +144,9 @@ def apply_cleaning_rules(df: DataFrame, keys=("place", "slot"), order_cols=("ts"
     valid, keyless = split_missing_keys(valid, keys)
     rejects = dead.withColumn("reject_reason", F.lit("dead_row")).unionByName(
         keyless.withColumn("reject_reason", F.lit("missing_key")))
-    present_order = [o for o in order_cols if o in df.columns]
-    valid = keep_last(valid, keys, present_order) if present_order else valid.dropDuplicates(list(keys))
-    return valid, rejects
+    # without an order of their own, rows of a key are ordered by all they hold
+    present_order = [o for o in order_cols if o in df.columns] or [c for c in valid.columns if c not in keys]
+    return keep_last(valid, keys, present_order), rejects
 
 
 # ---- contracts and gates (C6, C7, C21) ---------------------------------------

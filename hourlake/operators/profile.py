@@ -154,7 +154,7 @@ def winsorize(df: DataFrame, cols, limit: float = WINSOR_LIMIT, suffix: str = "_
         one = cuts.filter(F.col("column") == c_)
         median, low, high = (one.select(n).scalar() for n in ("median", "low", "high"))
         x = F.col(c_).cast("double")
-        out[c_ + suffix] = F.least(F.greatest(F.coalesce(F.nanvl(x, F.lit(None)), median), low), high)
+        out[c_ + suffix] = F.least(F.greatest(F.coalesce(X.nan_to_null(x), median), low), high)
     return df.withColumns(out)
 
 
@@ -168,13 +168,17 @@ def corr_matrix(df: DataFrame, cols, digits: int = 9) -> DataFrame:
     return one.selectExpr(f"stack({len(pairs)}, {stack}) AS (col_a, col_b, corr)")
 
 
-def shares_pivot(df: DataFrame, key: str, cat: str, values, prefix: str = "pct_") -> DataFrame:
-    """Share (%) of each category per group, pivoted on a fixed
-    list of values (no pass to discover them); NULL categories excluded."""
-    d = df.filter(F.col(cat).isNotNull())
-    p = d.groupBy(key).pivot(cat, list(values)).count().na.fill(0, subset=list(values))
-    total = sum((F.col(v) for v in values), F.lit(0))
-    return p.select(key, *[X.pct_1dp(F.col(v), total).alias(prefix + v) for v in values]).orderBy(key)
+def shares_pivot(df: DataFrame, key: str, cat, values, prefix="pct_") -> DataFrame:
+    """Share (%) of each category per group, a column for each of a
+    fixed list of values (no pass to discover them); NULL categories excluded.
+    Several categories (with a prefix each) are counted in the same pass; groups
+    without any category of the first have no row."""
+    cats, prefixes = ([cat], [prefix]) if isinstance(cat, str) else (list(cat), list(prefix))
+    hits = {(c_, v): F.count(F.when(F.col(c_) == v, 1)).alias(f"_{i}_{v}") for i, c_ in enumerate(cats) for v in values}
+    counts = df.filter(F.col(cats[0]).isNotNull()).groupBy(key).agg(*hits.values())
+    total = [sum((F.col(f"_{i}_{v}") for v in values), F.lit(0)) for i in range(len(cats))]
+    shares = [X.pct_1dp(F.col(f"_{i}_{v}"), F.nullif(total[i], F.lit(0))).alias(p + v) for i, p in enumerate(prefixes) for v in values]
+    return counts.select(key, *shares).orderBy(key)
 
 
 # ---- resampling (J2, J3) ----------------------------------------------------

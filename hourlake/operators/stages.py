@@ -18,6 +18,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourlake.functions import columns as X
 from hourlake.operators import quantiles as Q
 
 LARGEST = 20_000
@@ -68,7 +69,7 @@ class PlaceImputerModel(Model, _PlaceParams, DefaultParamsReadable, DefaultParam
             known, rest = self.getOrDefault(self.fills)[c], F.lit(float(self.getOrDefault(self.overall)[c]))
             pairs = [F.lit(x) for k, v in sorted(known.items()) for x in (k, float(v))]
             fill = F.coalesce(F.try_element_at(F.create_map(*pairs), place), rest) if pairs else rest
-            x = F.nanvl(F.col(c).cast("double"), F.lit(None))
+            x = X.nan_to_null(F.col(c).cast("double"))
             out[c + FILLED] = F.coalesce(x, fill)
             out[c + MISSING] = x.isNull().cast("double")
         return dataset.withColumns(out)

@@ -25,6 +25,9 @@ COUNTRY_ROWS = [("FR", "France")]
 LIMIT_LEVEL = "Limite OMS"
 # Insert defaults of the fact and prediction tables.
 FACT_DEFAULTS = {"weather_status": "OK", "air_status": "OK", "batch_id": "MANUAL_LOAD"}
+# Audit times set on insert, and columns that a prediction must have.
+FACT_AUDIT, PREDICTION_AUDIT = ("inserted_at", "modified_at"), ("predicted_at",)
+PREDICTION_REQUIRED = ("place_id", "target_ts", "aqi_pred", "alert", "batch_id")
 # Warehouse column types of the fact table.
 FACT_TYPES = {
     "temperature": "decimal(5,2)", "humidity": "int", "pressure": "int", "wind_speed": "decimal(5,2)",
@@ -105,6 +108,23 @@ def insert_defaults(df: DataFrame, defaults: dict = FACT_DEFAULTS) -> DataFrame:
     return df.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in defaults.items() if k in df.columns})
 
 
+def audit_defaults(df: DataFrame, now, columns=FACT_AUDIT) -> DataFrame:
+    """I8: audit times that a row doesn't bring are the time of the insert,
+    local wall clock; absent columns are added."""
+    own = {k: F.coalesce(F.col(k), now) if k in df.columns else now for k in columns}
+    return df.withColumns({k: v.cast("timestamp_ntz") for k, v in own.items()})
+
+
+def prediction_defaults(df: DataFrame, now) -> DataFrame:
+    """I8 on the prediction table: the time of the prediction defaults to now;
+    every other column must be there, and a NULL in one fails the row's task."""
+    checked = df
+    for name in PREDICTION_REQUIRED:
+        message = F.lit(f"prediction without {name}")
+        checked = checked.filter(F.when(F.col(name).isNull(), F.raise_error(message)).otherwise(F.lit(True)))
+    return audit_defaults(checked, now, PREDICTION_AUDIT)
+
+
 def new_members(staged: DataFrame, existing: DataFrame, key: str, id_col: str | None = None,
                 order_col: str | None = None) -> DataFrame:
     """Rows of ``staged`` whose key is absent from ``existing``

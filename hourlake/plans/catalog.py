@@ -6,6 +6,7 @@ the driver's tables through the library's operators.  Nothing is collected.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,9 @@ from hourlake.operators import features as FE
 from hourlake.operators import reports as R
 from hourlake.operators import star as S
 from hourlake.operators import upsert as U
+from hourlake.operators.versions import Warehouse
 from hourlake.plans import measures as M
+from hourlake.session import cut_lineage, scratch_root
 from hourlake.sources import testdata as TD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +27,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # ---- fixed query parameters ---------------------------------------------
 LOAD_TS = "2024-02-01 00:00:00"          # load time of the upsert run
 LOAD_BATCH = "manual__2024020100"        # batch id of the upsert run
+FIRST_TS = "2024-01-31 00:00:00"         # load time and batch of the load before it
+FIRST_BATCH = "manual__2024013100"
 AS_OF = "2024-01-25 00:00:00"            # "now" of the future-predictions report
 REPORT_DAY = 20240115                    # day of the day-slots report
 REPORT_PLACES = ("V01", "V02", "V05")    # place filter of the dashboard report
@@ -74,6 +79,24 @@ class Gold:
         return self.measures.filter(F.col("place") != NEW_PLACE)
 
 
+class StoredGold(Gold):
+    """Gold frames whose measures are written once, so that what is derived
+    from them several times (dimensions, facts, batches) reads that table and
+    not the events again."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(spark, sf_dir)
+        self.measures = cut_lineage(self.measures)
+        self.places = S.place_dim(self.measures)
+        self.times = S.time_dim(self.measures)
+        self.fact = gold_fact(self.measures, self.places)
+
+
+def new_warehouse(spark: SparkSession) -> Warehouse:
+    """An empty warehouse in the session's shared folder."""
+    return Warehouse(spark, f"{scratch_root(spark)}/loads-{uuid.uuid4().hex}")
+
+
 def gold_fact(measures: DataFrame, places: DataFrame) -> DataFrame:
     """Typed fact with audit columns (loaded at the top of its hour)."""
     f = S.warehouse_types(S.fact(measures, places))
@@ -100,7 +123,7 @@ def out(df: DataFrame) -> DataFrame:
 
 @query("scan_fact")
 def q_scan_fact(spark, sf_dir):
-    return out(Gold(spark, sf_dir).fact)
+    return out(StoredGold(spark, sf_dir).fact)
 
 
 @query("kpi_counts")
@@ -154,19 +177,19 @@ def q_places_per_slot(spark, sf_dir):
 
 @query("latest_rows")
 def q_latest_rows(spark, sf_dir):
-    g = Gold(spark, sf_dir)
+    g = StoredGold(spark, sf_dir)
     return R.latest_rows(g.fact, g.places, 22)
 
 
 @query("partial_outages")
 def q_partial_outages(spark, sf_dir):
-    g = Gold(spark, sf_dir)
+    g = StoredGold(spark, sf_dir)
     return R.partial_outages(g.fact, g.places, g.times)
 
 
 @query("threshold_status")
 def q_threshold_status(spark, sf_dir):
-    g = Gold(spark, sf_dir)
+    g = StoredGold(spark, sf_dir)
     return R.threshold_status(g.fact, g.places, g.times, g.thresholds())
 
 
@@ -322,7 +345,7 @@ def existing_gold(g: Gold):
 def q_new_members(spark, sf_dir):
     """New places (with identity keys) and new hours of the
     staging batch."""
-    g = Gold(spark, sf_dir)
+    g = StoredGold(spark, sf_dir)
     em, places, _ = existing_gold(g)
     staged = g.staged()
     new_p = S.new_members(staged.select("place").distinct(), places, "place", "place_id")
@@ -341,7 +364,7 @@ def loaded_places(g: Gold) -> DataFrame:
 
 @query("key_lookup")
 def q_key_lookup(spark, sf_dir):
-    g = Gold(spark, sf_dir)
+    g = StoredGold(spark, sf_dir)
     return S.key_lookup(g.staged(), loaded_places(g), "place", "place_id").select("place", "place_id", "slot")
 
 
@@ -351,7 +374,7 @@ UPDATE_COLS = X.ALL_METRICS + ("weather_status", "air_status")
 @query("upsert_fact")
 def q_upsert_fact(spark, sf_dir):
     """I4: the existing warehouse after the MERGE of the staging batch."""
-    g = Gold(spark, sf_dir)
+    g = StoredGold(spark, sf_dir)
     _, _, target = existing_gold(g)
     src = S.warehouse_types(S.key_lookup(g.staged(), loaded_places(g), "place", "place_id").drop("place"))
     merged = U.merge_upsert(target, src, ["place_id", "slot"], UPDATE_COLS, LOAD_TS, LOAD_BATCH,
@@ -363,7 +386,7 @@ def q_upsert_fact(spark, sf_dir):
 def q_upsert_predictions(spark, sf_dir):
     """Existing predictions merged with a re-scored last day (value + 0.5)
     and the new place's last-day predictions."""
-    g = Gold(spark, sf_dir)
+    g = StoredGold(spark, sf_dir)
     pred = predictions_from(gold_fact(g.measures, g.places))
     new_id = g.places.filter(F.col("place") == NEW_PLACE).select("place_id")
     target = pred.join(new_id, "place_id", "left_anti")

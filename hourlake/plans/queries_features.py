@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hourlake.functions import columns as X
 from hourlake.operators import features as FE
 from hourlake.operators import model as ML
-from hourlake.plans.catalog import PLACE_VOCAB, Gold, predictions_from, query
+from hourlake.plans.catalog import PLACE_VOCAB, Gold, new_warehouse, predictions_from, query
 
 TRIG = ("hour_sin", "hour_cos", "month_sin", "month_cos", "wind_dir_sin", "wind_dir_cos")
 
@@ -246,7 +246,6 @@ def q_touched_ingest(spark, sf_dir):
     import uuid
     from hourlake.operators import clean
     from hourlake.operators import load as LD
-    from hourlake.plans.queries_load import new_warehouse
     from hourlake.session import ensure_checkpoint_dir
     from hourlake.sources import raw
     from hourlake.sources import testdata as TD

@@ -2,34 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from hourlake.operators import clean
 from hourlake.operators import load as LD
 from hourlake.operators import versions as V
-from hourlake.plans.catalog import LOAD_BATCH, LOAD_TS, Gold, out, query
+from hourlake.plans.catalog import FIRST_BATCH, FIRST_TS, LOAD_BATCH, LOAD_TS, StoredGold, new_warehouse, out, query
 from hourlake.plans.oracle import FACT_OUT, STAGED, oracle
-from hourlake.session import cut_lineage, scratch_root
-
-# ---- fixed query parameters: the load that came before --------------------
-FIRST_TS = "2024-01-31 00:00:00"
-FIRST_BATCH = "manual__2024013100"
-
-
-def new_warehouse(spark) -> V.Warehouse:
-    return V.Warehouse(spark, f"{scratch_root(spark)}/loads-{uuid.uuid4().hex}")
-
-
-class StoredGold(Gold):
-    """Gold frames whose measures are written once, so that what is derived
-    from them several times reads that table and not the events again."""
-
-    def __init__(self, spark, sf_dir):
-        super().__init__(spark, sf_dir)
-        self.measures = cut_lineage(self.measures)
-
 
 def two_loads(spark, sf_dir) -> V.Warehouse:
     """A warehouse after a first load and the staging batch of the reports."""

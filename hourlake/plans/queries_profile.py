@@ -68,9 +68,7 @@ def q_mean_by_month(spark, sf_dir):
 def q_status_share(spark, sf_dir):
     m = Gold(spark, sf_dir).measures
     vals = (X.STATUS_OK, X.STATUS_FAILED)
-    w = P.shares_pivot(m, "place", "weather_status", vals, prefix="weather_pct_")
-    a = P.shares_pivot(m, "place", "air_status", vals, prefix="air_pct_")
-    return w.join(a, "place")
+    return P.shares_pivot(m, "place", ("weather_status", "air_status"), vals, prefix=("weather_pct_", "air_pct_"))
 
 
 @query("sector_share")

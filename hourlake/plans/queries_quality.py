@@ -85,8 +85,8 @@ def q_check_fk(spark, sf_dir):
 def q_check_range(spark, sf_dir):
     """C11: CHECK ranges on the fact (humidity) and the time dimension."""
     g = Gold(spark, sf_dir)
-    f = S.check_range(g.fact.select("place_id", "slot", "humidity"), {"humidity": (0, 100)})
-    t = S.check_range(g.times.select("slot", "month", "hour"), {"month": (1, 12), "hour": (0, 23)})
+    f = S.check_range(g.fact.select("place_id", "slot", "humidity"), S.RANGE_CHECKS)
+    t = S.check_range(g.times.select("slot", "month", "hour"), S.RANGE_CHECKS)
     return (f.select("slot", "failed_check")
             .unionByName(t.select("slot", "failed_check")))
 

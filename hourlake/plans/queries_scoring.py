@@ -10,10 +10,9 @@ from hourlake.operators import clean
 from hourlake.operators import features as FE
 from hourlake.operators import load as LD
 from hourlake.operators import profile as P
-from hourlake.plans.catalog import LOAD_BATCH, LOAD_TS, NEW_PLACE, PLACE_VOCAB, out, query
+from hourlake.plans.catalog import FIRST_BATCH, FIRST_TS, LOAD_BATCH, LOAD_TS, NEW_PLACE, PLACE_VOCAB, StoredGold, new_warehouse, out, query
 from hourlake.plans.oracle import avg_hu, oracle
 from hourlake.plans.oracle_quality import FORECAST, VOCAB
-from hourlake.plans.queries_load import FIRST_BATCH, FIRST_TS, StoredGold, new_warehouse
 
 # Places whose forecast no run of the fixture fetched.
 UNSERVED = ("V04",)

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from hourlake.functions import columns as X
 from hourlake.operators import clean
 from hourlake.operators import signals as SG
+from hourlake.operators import star as S
 from hourlake.plans.catalog import Gold, out, query
 from hourlake.plans.oracle import avg_hu, oracle, pct1
 from hourlake.sources import testdata as TD
 
 # ---- fixed query parameters ------------------------------------------------
 DRIFT_SPLIT = "2024-01-16 00:00:00"
-TREND_LEVEL = "Limite OMS"
 
 
 @query("missing_runs")
@@ -65,7 +65,7 @@ def q_place_month_grid(spark, sf_dir):
 def q_pollutant_trend(spark, sf_dir):
     """Daily means of the pollutants at each place against their limits."""
     g = Gold(spark, sf_dir)
-    limits = g.thresholds().filter(F.col("level") == TREND_LEVEL)
+    limits = g.thresholds().filter(F.col("level") == S.LIMIT_LEVEL)
     names = {"PM2.5": "pm25", "PM10": "pm10", "NO2": "no2", "O3": "o3"}
     means = g.fact.groupBy("place_id", F.date_format("hour_ts", "yyyy-MM-dd").alias("day")).agg(
         *[X.decimal_mean(F.col(c), 4).alias(c) for c in names.values()])

@@ -46,6 +46,8 @@ FORECAST_SCHEMA = T.StructType([
     ])),
 ])
 PARTITION_SCHEMA = [T.StructField(n, T.StringType()) for n in ("year", "month", "day", "hour")]
+CONFIG_SCHEMA = T.StructType([T.StructField("city", T.StringType()), T.StructField("country", T.StringType()),
+                              T.StructField("latitude", T.DoubleType()), T.StructField("longitude", T.DoubleType())])
 AIR_OK = "ok"
 WEATHER_NOT_FOUND = "404"
 
@@ -194,13 +196,16 @@ def forecast_documents(rows: DataFrame, place: str = "place", ts: str = "fc_ts")
     return txt.select(place, F.from_json("payload", FORECAST_SCHEMA).alias("doc"))
 
 
-def read_config(spark: SparkSession, path: str) -> DataFrame:
+def read_config(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Place configuration (array of objects or an object with a
-    ``cities`` array)."""
-    raw = spark.read.option("multiLine", True).json(path)
-    if "cities" in raw.columns:
-        return raw.select(F.explode("cities").alias("c")).select("c.*")
-    return raw
+    ``cities`` array).  With a schema (``CONFIG_SCHEMA``) no job has to infer
+    one, and absent fields are NULL."""
+    reader = spark.read.option("multiLine", True)
+    if schema is None:
+        raw = reader.json(path)
+        return raw.select(F.inline("cities")) if "cities" in raw.columns else raw
+    raw = reader.schema(T.StructType([*schema.fields, T.StructField("cities", T.ArrayType(schema))])).json(path)
+    return raw.select(F.inline(F.coalesce("cities", F.array(F.struct(*[f.name for f in schema.fields])))))
 
 
 def read_history_csv(spark: SparkSession, path: str, schema: T.StructType, ts_col: str,
