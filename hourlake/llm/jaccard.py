@@ -27,11 +27,13 @@ similarity is counted on whole sets.  Nothing is gathered on the driver but the
 bucketed counts (one byte a bucket, ``ORDER_BUCKETS`` in all).
 
 Defined cases: null or wordless texts have an empty set and link with nothing;
-a text of fewer than five words is one shingle; repeated rows are equal sets; a
+a text of fewer than five words is one shingle; a very long text's shingles are
+made whole, by one task; of equally frequent shingles the smaller hash comes
+first; repeated rows are equal sets; a
 null id loses to any other as a class's smallest, and is its class if alone;
 repeated ids are one document each; an empty table gives an empty result; other
-input columns are ignored by ``components`` and kept by ``keep_one_of_class``
-and ``drop_near_copies``, whose working columns start with ``_j_``.
+input columns are ignored by ``components`` and kept by ``keep_one_of_class``,
+whose working columns start with ``_j_``.
 """
 
 from __future__ import annotations
@@ -323,12 +325,3 @@ def keep_one_of_class(docs: DataFrame, order_buckets: int = ORDER_BUCKETS) -> Da
                              "_j_key": F.xxhash64("doc_id", "text")})
     rows = rows.join(kept, ["_j_id", "_j_key"], "left_semi")
     return rows.dropDuplicates(["_j_id", "_j_key"]).select(*docs.columns)
-
-
-def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one row for each component id, so ids stay unique: of
-    different classes named by one id, or by null, only one row is kept.
-    ``keep_one_of_class`` keeps them all."""
-    kept = components(docs, **options).where("doc_id <=> component_id").select(F.col("doc_id").alias("_j_id")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_j_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"])

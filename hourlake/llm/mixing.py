@@ -18,7 +18,7 @@ Beyond that rows meet the rates through an equality join, each source dealt over
 Only DataFrame functions are used.  Defined cases: a null source is a source of
 its own; a null id is replaced by a hash of the text; repeated rows draw the
 same number and so have the same number of copies each; a null or empty text
-is a document like any other; a source without a target weight gets rate 0 (no
+is a document like any other, and a very long one moves whole, once a copy; a source without a target weight gets rate 0 (no
 copy); an empty table stays empty.  Input columns named ``copy`` or
 ``shuffle_key`` are replaced; working columns start with ``_m_``.
 """

@@ -8,7 +8,12 @@ characters-per-token ratio is low together are reported as ``random``, whatever
 readable text stands beside them.  A part of digits only, or of letters that
 are one token, tells nothing by itself.
 
-Defined cases: a null text counts as empty; empty texts have no span; rows are
+Runs under ``SHORTEST`` characters are not judged: of random strings that short
+too many look like words.  Runs above ``PIECE`` characters are tokenised piece by
+piece, which adds a token in each at most.
+
+Defined cases: a null text counts as empty; empty texts have no span; a very long
+text is scanned whole by one task; a ratio equal to the greatest is readable; rows are
 judged one by one, so repeated rows and null or repeated ids need no care;
 other columns of the input are ignored by ``scan_secrets`` and kept as they are
 by ``redact_secrets``; an empty table gives an empty result.

@@ -10,8 +10,8 @@ Only DataFrame functions touch rows; the table is filled on the driver, once,
 in ``table_size`` steps and some misses.  Defined cases: a null id is replaced
 by a hash of the text, so such rows spread; repeated ids go to one shard (as
 their key says) but are dealt out over ``spread`` tasks within it, so a hot key
-never meets in one task; empty or null texts are placed like others; an empty
-table stays empty.  Input columns named ``slot`` or ``shard`` are replaced.
+never meets in one task; empty, null or very long texts are placed like
+others; an empty table stays empty.  Input columns named ``slot`` or ``shard`` are replaced.
 """
 
 from __future__ import annotations
