@@ -3,6 +3,13 @@
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
 and returns a DataFrame, which is written as Parquet and read again as the next
 stage's ``docs``.  ``run`` applies them to ``documents``.
+
+Defined cases, in all stages: a null text is an empty one, which the quality
+rules reject; a very long text stays one row, and whole; repeated rows are
+copies, of which the Jaccard join keeps one; null and repeated ids are kept
+apart by their texts; an empty table passes through as one; columns beside those
+of ``documents`` are kept up to the last stage.  Ties: a score equal to the quality
+threshold is kept, and of a group of near copies the smallest id, then row hash.
 """
 
 from __future__ import annotations
