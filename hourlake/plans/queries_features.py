@@ -156,6 +156,21 @@ def q_boosting_cv(spark, sf_dir):
     return _cv(spark, sf_dir, ML.boosting())
 
 
+@query("model_evaluation")
+def q_model_evaluation(spark, sf_dir):
+    """K8/K9: the forest fitted on the last fold's train rows, judged on its
+    test rows: errors, and its alerts against the actual ones."""
+    g = Gold(spark, sf_dir)
+    names = FE.feature_names(PLACE_VOCAB)
+    data = ML.cut_lineage(ML._double_features(training_set(g), names))
+    folds = FE.temporal_folds(data.select("place", "slot", "hour_ts"), ("hour_ts", "place")).filter(F.col("fold") == ML.N_FOLDS)
+    split = ML.cut_lineage(data.join(folds.select("place", "slot", "role"), ["place", "slot"]))
+    model = ML.pipeline(names, ML.forest()).fit(split.filter("role = 'train'"))
+    scored = ML.cut_lineage(model.transform(split.filter("role = 'test'")).select("place", "hour_ts", "target", "prediction"))
+    errors = ML.metrics(scored, "target", "prediction")
+    return ML.alert_confusion(scored, "target", "prediction").select(*[errors.select(c).scalar().alias(c) for c in errors.columns], "*")
+
+
 @query("feature_importances")
 def q_feature_importances(spark, sf_dir):
     """Refit the forest on all rows, top-10 importances."""

@@ -156,7 +156,7 @@ def test_incremental_load_is_restartable(spark, tmpdir_path):
 def test_registered_queries_have_no_python_udf(spark):
     import __spark_entry__ as E
     heavy = {"forest_cv", "boosting_cv", "feature_importances", "score_alerts", "tumbling_hour_stream",
-             "permutation_test", "winsorize", "temporal_folds"}
+             "permutation_test", "winsorize", "temporal_folds", "model_evaluation", "touched_ingest"}
     for name, fn in E.queries().items():
         if name in heavy:
             continue
