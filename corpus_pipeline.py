@@ -24,10 +24,10 @@ from hourlake.session import ensure_checkpoint_dir
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules; the trusted target is the
-    labelled documents of quality 1."""
+    """Documents that pass the quality rules, scored by their words and word
+    pairs; the trusted target is the labelled documents of quality 1."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.keep_quality(docs, labels.where("quality = 1"))
+    return quality.keep_quality(docs, labels.where("quality = 1"), grams=quality.WORDS)
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
