@@ -44,6 +44,16 @@ def test_shared_passages_equal_brute_force(spark):
         assert Counter(map(tuple, got)) == Counter((d, len((t or "").encode()), w) for (d, t), w in zip(rows, want))
 
 
+def test_a_repeated_line_is_one_run_per_text(spark):
+    share_package(spark)
+    line = " ".join(f"w{i}" for i in range(7)) + "\n"
+    docs = spark.createDataFrame([(1, line * 200), (2, line * 90 + "end")], "digest long, text string")
+    rows = substring._passages(docs, 51, True).collect()
+    names = Counter((r.digest, r.anchor, n) for r in rows for n in set(r.names))
+    assert max(names.values()) <= 2  # a whole run and the text's last, cut short
+    assert len({n for r in rows if r.digest == 1 for n in r.names}) == 7
+
+
 def test_query_tells_passages_under_400_bytes(spark, tmp_path):
     texts = corpus()
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
